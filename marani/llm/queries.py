@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import encode
+from . import encode, leaks
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,8 +17,12 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode_texts(_table(spark, folder, "documents"))
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p6_ids": p6_ids}
+    return {"p6_ids": p6_ids, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
