@@ -56,6 +56,7 @@ SKELETON = {ord(other): c[0] for c in CLASSES for other in c[1:]}
 IGNORABLE = "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff"
 _ignorable = re.compile(f"[{IGNORABLE}]+")
 _marks = re.compile("[̀-ͯ]+")
+_broken = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t>*#•|]*(?=[^\W\d_])")
 _tags = re.compile(r"<[^<>\n]{1,80}>")
 WORDS = re.compile(r"[^\W_]+")
 
@@ -65,10 +66,14 @@ def drop_ignorable(text: str) -> str:
 
 
 def plain(text: str) -> str:
-    """Text without tags, characters that show nothing, and accents that no composed letter holds. Other markup is punctuation."""
+    """Text without tags, hyphens at line ends, characters that show nothing, and accents that no composed letter holds.
+
+    Other markup is punctuation."""
     if "<" in text:
         text = _tags.sub(" ", text)
     text = drop_ignorable(text)
+    if "-" in text:
+        text = _broken.sub("", text)
     if _marks.search(text):
         text = _marks.sub("", unicodedata.normalize("NFC", text))
     return text
