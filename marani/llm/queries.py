@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import encode, leaks
+from . import encode, leaks, subjects
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,8 +21,12 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return subjects.subject_areas(_table(spark, folder, "documents"), _table(spark, folder, "subjects"), _table(spark, folder, "subject_labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p6_ids": p6_ids, "p7_found": p7_found}
+    return {"p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
