@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import encode, leaks, subjects
+from . import encode, leaks, neighbours, subjects
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.neighbour_pairs(_table(spark, folder, "layout"))
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode_texts(_table(spark, folder, "documents"))
 
@@ -26,7 +30,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
