@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import encode, leaks, neighbours, subjects
+from . import copies, encode, leaks, neighbours, subjects
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,14 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.neighbour_pairs(_table(spark, folder, "layout"))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return copies.repeats(_table(spark, folder, "sentences"))
+
+
+def p5_copies(spark: SparkSession, folder: str) -> DataFrame:
+    return copies.collapse(_table(spark, folder, "sentences"))
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode_texts(_table(spark, folder, "documents"))
 
@@ -30,8 +38,37 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p4_found": p4_found, "p5_found": p5_found, "p5_copies": p5_copies, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+
+
+_WORDS_ONLY = "trim(regexp_replace(lower(upper({})), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g'))"
+
+_SENTENCE_KEYS = f"""
+WITH t AS (
+  SELECT id, text, regexp_replace(text, '[\\s.!?…;,|•]+$', '') AS bare FROM sentences
+  WHERE regexp_matches(text, '[\\p{{L}}\\p{{N}}]')
+),
+cut AS (
+  SELECT t.id, s.n, list_filter(string_split(bare, s.sep), lambda x: regexp_matches(x, '[\\p{{L}}\\p{{N}}]')) AS fields
+  FROM t, (VALUES (1, ';'), (2, '|'), (3, '•'), (4, chr(10)), (5, ',')) s(n, sep)
+  WHERE regexp_matches(t.text, '[:=–]')
+),
+records AS (
+  SELECT id, min_by(fields, n) AS fields FROM cut
+  WHERE len(fields) >= 2 AND len(list_filter(fields, lambda x: NOT regexp_matches(x, '^[^:=–]*[\\p{{L}}\\p{{N}}][^:=–]*[:=–](.|\\n)*[\\p{{L}}\\p{{N}}]'))) = 0
+  GROUP BY id
+),
+keys AS (
+  SELECT t.id, CASE WHEN r.id IS NULL THEN {_WORDS_ONLY.format("t.text")}
+    ELSE ';' || array_to_string(list_sort(list_transform(r.fields, lambda x:
+      {_WORDS_ONLY.format("regexp_extract(x, '^[^:=–]*')")} || '=' || {_WORDS_ONLY.format("regexp_replace(x, '^[^:=–]*[:=–]', '')")})), ';') END AS form
+  FROM t LEFT JOIN records r ON t.id = r.id
+)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p5_found": _SENTENCE_KEYS + "SELECT * FROM (SELECT min(id) OVER (PARTITION BY form) AS first_id, id FROM keys) WHERE first_id < id",
+        "p5_copies": _SENTENCE_KEYS + "SELECT min(id) AS first_id, count(*) AS copies FROM keys GROUP BY form",
+    }
