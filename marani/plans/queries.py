@@ -6,5 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marani.operators import fields
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Register a query under its name."""
+    REGISTRY[f.__name__] = f
+    return f
+
+
+@query
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return fields.unpack(_table(spark, folder, "emoji_keywords"))
