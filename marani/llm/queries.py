@@ -5,14 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import copies, encode, leaks, neighbours, subjects
+from . import copies, encode, leaks, lookalike, neighbours, sample, subjects
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+SAMPLE_SIZE, SAMPLE_SEED = 10_000, 20260704
+
+
+def p1_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """The occurrences that the vocabulary holds are all among those that arrive in pieces, which are the population."""
+    return sample.sample(_table(spark, folder, "occurrences"), SAMPLE_SIZE, ["sid", "pos"], ["piece", "arrived_at"], ["lemma", "form"], SAMPLE_SEED)
+
+
+def _looks(spark: SparkSession, folder: str) -> DataFrame:
+    words = _table(spark, folder, "vocab").select(F.lit("word").alias("field"), F.col("i").cast("long").alias("key"), F.col("word").alias("text"))
+    lists = _table(spark, folder, "emoji_keywords").select(F.lit("keywords_ka").alias("field"), F.col("row_id").alias("key"), F.col("keywords_ka").alias("text"))
+    return words.unionByName(lists)
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.look_alike_pairs(_looks(spark, folder))
+
+
+def p2_forms(spark: SparkSession, folder: str) -> DataFrame:
+    texts = _looks(spark, folder)
+    return lookalike.forms(texts, lookalike.learn(texts), "text", "form", ["field", "key"])
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.neighbour_pairs(_table(spark, folder, "layout"))
 
@@ -38,7 +62,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p5_found": p5_found, "p5_copies": p5_copies, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p1_sample": p1_sample, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p5_found": p5_found, "p5_copies": p5_copies, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
 
 
 _WORDS_ONLY = "trim(regexp_replace(lower(upper({})), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g'))"
@@ -69,6 +93,11 @@ keys AS (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p1_sample": f"""
+            SELECT sid, pos, lemma, form FROM (
+              SELECT *, row_number() OVER (PARTITION BY sid, pos ORDER BY piece NULLS FIRST, arrived_at NULLS FIRST, lemma NULLS FIRST, form NULLS FIRST) AS r FROM occurrences
+            ) WHERE r = 1
+            ORDER BY md5('{SAMPLE_SEED}|' || coalesce(sid::varchar, '?') || '|' || coalesce(pos::varchar, '?')), sid, pos LIMIT {SAMPLE_SIZE}""",
         "p5_found": _SENTENCE_KEYS + "SELECT * FROM (SELECT min(id) OVER (PARTITION BY form) AS first_id, id FROM keys) WHERE first_id < id",
         "p5_copies": _SENTENCE_KEYS + "SELECT min(id) AS first_id, count(*) AS copies FROM keys GROUP BY form",
     }
