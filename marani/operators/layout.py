@@ -117,7 +117,8 @@ def umap_layout(vectors: DataFrame, n_neighbors: int = 30, min_dist: float = 0.0
     near = exact_neighbours(vectors, n_neighbors, id_col, vec_col).select("i", "j", F.greatest(1 - F.col("cos"), F.lit(0.0)).alias("d"))
 
     def weigh(key, pdf):
-        return pdf.assign(w=_smooth(pdf["d"].to_numpy()))[["i", "j", "w"]]
+        pdf = pdf.sort_values(["d", "j"])
+        return pdf.assign(w=_smooth(pdf["d"].round(9).to_numpy()).round(9))[["i", "j", "w"]]
 
     one_way = near.groupBy("i").applyInPandas(weigh, "i long, j long, w double")
     other = one_way.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("w").alias("back"))
@@ -129,6 +130,8 @@ def umap_layout(vectors: DataFrame, n_neighbors: int = 30, min_dist: float = 0.0
     else:
         two = pca_reduce(vectors, 2, id_col, vec_col).select(F.col(id_col).cast("long").alias("i"), F.col("vec")[0].alias("x"), F.col("vec")[1].alias("y"))
         start = two.toPandas().set_index("i").reindex(ids)[["x", "y"]].to_numpy()
+        # The signs of components are arbitrary and their last digits depend on the order of sums; neither may steer the descent.
+        start = (start * np.sign(start[np.abs(start).argmax(axis=0), [0, 1]])).round(6)
     rng = np.random.default_rng(seed)
     at = start * (10 / max(np.abs(start).max(), 1e-9)) + rng.normal(scale=1e-4, size=start.shape)
     head, tail, weight = np.searchsorted(ids, edges["i"]), np.searchsorted(ids, edges["j"]), edges["w"].to_numpy() / max(edges["w"].max(), 1e-12)
