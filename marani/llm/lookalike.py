@@ -25,16 +25,13 @@ from pyspark.sql import types as T
 from ..runtime import settle
 from .words import CLASSES, drop_ignorable
 
-CHANGE = 12.0  # cost of a change of script inside a run, in nats
+CHANGE, BACKOFF = 12.0, 5.0  # cost of a change of script inside a run, in nats; weight of the letters' own chances
 # The scripts that have look-alikes in one another, by the words that their letters' names begin with.
 SCRIPTS = ("LATIN", "GEORGIAN", "CYRILLIC", "GREEK", "ARMENIAN")
 _class_of = {letter: c for c in CLASSES for letter in c}
 _run = re.compile(r"(?:[^\W\d_][̀-ͯ]*)+")
 _plain_marks = re.compile("[̀-ͯ]")
 MEMO_LIMIT, ROWS_PER_BATCH, PAIRS_AT_ONCE = 300_000, 2000, 5_000
-Model = dict[tuple[str, str], float]
-
-
 @lru_cache(65536)
 def script(letter: str) -> str:
     word = unicodedata.name(letter, "?").split(" ", 1)[0]
@@ -55,44 +52,51 @@ def bigrams(text: str) -> Iterator[tuple[str, str]]:
             yield from zip(["", *letters], [*letters, ""])
 
 
-def model_of(counts: dict[tuple[str, str], int]) -> Model:
-    """Logarithms of the letters' chances after each letter of their script; ("", script) and (letter, "") hold what is unseen."""
-    after: dict[str, int] = defaultdict(int)
-    for (a, _), n in counts.items():
-        after[a] += n
-    out = {(a, b): math.log((n + 0.1) / (after[a] + 20)) for (a, b), n in counts.items()}
-    out |= {("unseen", a): math.log(0.1 / (n + 20)) for a, n in after.items()}
-    return out
+class Model:
+    """Chances of letters after each letter of their script, mixed with the letters' own chances; "" is the border of a run."""
+
+    def __init__(self, counts: dict[tuple[str, str], int]) -> None:
+        self.pair = counts
+        self.after: Counter[str] = Counter()
+        self.own: Counter[str] = Counter()
+        for (a, b), n in counts.items():
+            self.after[a] += n
+            self.own[b] += n
+        self.total = sum(self.own.values())
+
+    def step(self, before: str, letter: str) -> float:
+        own = (self.own[letter] + 0.01) / (self.total + 2)
+        return math.log((self.pair.get((before, letter), 0) + BACKOFF * own) / (self.after[before] + BACKOFF))
 
 
 def best_path(run: str, model: Model) -> str:
     """The likeliest letters of a run; of equal scores the class's first letters."""
-    unseen = math.log(0.1 / 20)
-    paths: list[tuple[float, str, str]] = [(0.0, "", "")]  # score, last letter, text
+    # Score, last letter, and the letters so far as a chain of pairs, which costs the same for runs of any length.
+    paths: list[tuple[float, str, tuple]] = [(0.0, "", ())]
     for c in run:
         if _plain_marks.match(c):
-            paths = [(s, last, text + c) for s, last, text in paths]
+            paths = [(s, last, (chain, c)) for s, last, chain in paths]
             continue
         onward = []
         for letter in _class_of.get(c, (c,)):
             best = None
-            for s, last, text in paths:
+            for s, last, chain in paths:
                 same = not last or script(last) == script(letter)
-                before = last if same else ""
-                step = model.get((before, letter))
-                if step is None:
-                    step = model.get(("unseen", before), unseen)
-                score = s + step - (0 if same else CHANGE)
+                score = s + model.step(last if same else "", letter) - (0 if same else CHANGE)
                 if best is None or score > best[0] + 1e-9:
-                    best = (score, letter, text + letter)
+                    best = (score, letter, (chain, letter))
             onward.append(best)
         paths = onward
-    ends = [(s + model.get((last, ""), model.get(("unseen", last), unseen)), text) for s, last, text in paths]
-    top = ends[0]
-    for e in ends[1:]:
-        if e[0] > top[0] + 1e-9:
-            top = e
-    return top[1]
+    top = None
+    for s, last, chain in paths:
+        score = s + model.step(last, "")
+        if top is None or score > top[0] + 1e-9:
+            top = (score, chain)
+    letters, chain = [], top[1]
+    while chain:
+        chain, letter = chain
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 class Forms(dict):
@@ -128,7 +132,7 @@ def learn(texts: DataFrame, text_col: str = "text") -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b2, pa.string()), pa.array(list(found.values()), pa.int64())], names=["a", "b", "n"])
 
     counts = texts.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(count, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    return model_of({(r["a"], r["b"]): r["n"] for r in counts.collect()})
+    return Model({(r["a"], r["b"]): r["n"] for r in counts.collect()})
 
 
 def forms(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "form", keep: list[str] = ()) -> DataFrame:

@@ -213,7 +213,7 @@ def _calibrate(model: Model, score: np.ndarray, doc: np.ndarray, given: np.ndarr
         hit = (found & given[held]).sum()
         return 2 * hit / max(1, found.sum() + given[held].sum())
 
-    grid = np.array([0.0, 0.5, 1.0, 1.5], np.float32)
+    grid = np.array([-1.0, -0.5, 0.0, 0.5, 1.0, 1.5], np.float32)
     if not held.any():
         model.threshold[:] = 0.5
         return

@@ -11,7 +11,7 @@ import xxhash
 # Letters that look the same in different scripts, a class on each line, Latin first where it has the letter.
 LOOK_ALIKES = """
 a а α ɑ
-c с ϲ
+c с
 d ԁ
 e е
 g ɡ
