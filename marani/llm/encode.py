@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import base64
 import codecs
+import gc
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -106,6 +107,8 @@ class Transducer:
     def __init__(self, merges: Merges) -> None:
         self.m = merges
         self.pair = {(a, b): t for t, (a, b) in enumerate(zip(merges.left, merges.right)) if a >= 0}
+        self.right_spines: dict[int, list[int]] = {}
+        self.left_spines: dict[int, list[int]] = {}
         self.child: dict[int, int] = {}  # (trie node, byte) -> trie node
         self.token_at: dict[int, int] = {}  # trie node -> token that ends there
         nodes = 1
@@ -137,27 +140,32 @@ class Transducer:
         """The token that first joins a and b when both stand side by side, by the ranks of all merges that touch the border; -1: none.
 
         The tokens that come to stand at the border are a's right spine and b's left spine, in the order of their ranks."""
-        m, pair = self.m, self.pair
-        right_spine, left_spine = [a], [b]
-        while m.right[right_spine[-1]] >= 0:
-            right_spine.append(m.right[right_spine[-1]])
-        while m.left[left_spine[-1]] >= 0:
-            left_spine.append(m.left[left_spine[-1]])
-        never = len(m.tokens)
+        xs, ys = self._spine(self.right_spines, self.m.right, a), self._spine(self.left_spines, self.m.left, b)
+        x, y, get, never = 0, 0, self.pair.get, len(self.m.tokens)
         while True:
-            x, y = right_spine.pop(), left_spine.pop()
-            grow_x = right_spine[-1] if right_spine else never
-            grow_y = left_spine[-1] if left_spine else never
-            joint = pair.get((x, y), never)
+            joint = get((xs[x], ys[y]), never)
+            grow_x, grow_y = xs[x + 1], ys[y + 1]
             # Of equal ranks the leftmost is merged first: x's own growth lies left of the border, y's right of it.
             if joint < grow_x and joint <= grow_y and joint < never:
                 return joint
             if grow_x == grow_y == never:
                 return -1
             if grow_x <= grow_y:
-                left_spine.append(y)
+                x += 1
             else:
-                right_spine.append(x)
+                y += 1
+
+    def _spine(self, known: dict[int, list[int]], inner: list[int], t: int) -> list[int]:
+        """The tokens at one end of a token as it is merged, from the single byte to the token itself, and then a rank beyond all."""
+        spine = known.get(t)
+        if spine is None:
+            spine, part = [len(self.m.tokens)], t
+            while part >= 0:
+                spine.append(part)
+                part = inner[part]
+            spine.reverse()
+            known[t] = spine
+        return spine
 
     def _fit(self, a: int, b: int) -> bool:
         if a < 0:
@@ -249,6 +257,13 @@ def encode_texts(df: DataFrame, text_col: str = "text", out_col: str = "ids", vo
         if pieces is None:
             pieces = _worker[vocabulary] = PieceIds(sent.value)
         find, ids_of = regex.compile(SPLIT_PATTERN).findall, pieces.__getitem__
+        gc.disable()  # the memo tables hold many objects and no cycles, which the collector would look through again and again
+        try:
+            yield from encoded(batches, find, ids_of)
+        finally:
+            gc.enable()
+
+    def encoded(batches: Iterator[pa.RecordBatch], find: Callable, ids_of: Callable) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_PER_BATCH):
                 batch = whole.slice(at, ROWS_PER_BATCH)
