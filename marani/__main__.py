@@ -82,9 +82,8 @@ def main(argv: list[str] | None = None) -> int:
             table.write.mode("overwrite").parquet(f"{w}/{name}")
         print(json.dumps(pipeline.publish(a.out, config, words(), v, reference, laid), ensure_ascii=False))
     elif a.stage == "emoji":
-        made = pipeline.emoji_vectors(readers.emoji_keywords(spark, a.csv), words(), pipeline.reduce_vectors(read("vectors"), s), a.min_coverage)
-        labels = made.select(F.col("i").cast("int").alias("i"), F.col("emoji").alias("word"), F.col("emoji").alias("lemma"), "freq")
-        meta = pipeline.publish(a.out, config | {"id": a.id, "reduce": {**config.get("reduce", {}), "dim128_method": "mrl"}}, labels, made.select("i", "vec"))
+        own = config | {"id": a.id, "reduce": {**config.get("reduce", {}), "dim128_method": "mrl"}}
+        meta = pipeline.publish_emoji(a.out, own, readers.emoji_keywords(spark, a.csv), words(), pipeline.reduce_vectors(read("vectors"), s), a.min_coverage)
         print(json.dumps(meta, ensure_ascii=False))
     else:
         with open(f"{a.out}/index.json", encoding="utf-8") as f:

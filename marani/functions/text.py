@@ -157,3 +157,24 @@ def input_window(template: str, sentence: Column, form: Column, alphabet: Alphab
     text = F.concat(F.lit(template[:offset]), crop, F.lit(template[offset + 6 :]))
     found = F.struct(text.alias("text"), (start - left + offset).alias("start"), (end - left + offset).alias("end"))
     return F.when((F.length(form) > 0) & (start >= 0), found)
+
+
+def remove_markup(text: Column) -> Column:
+    """Wiki text without its markup: comments, references, tables, templates, files and categories go, links leave their words.
+
+    Templates and tables may stand in one another up to four deep."""
+    t = F.regexp_replace(text, r"(?s)<!--.*?-->|<ref[^>/]*/>|<ref[^>]*>.*?</ref>|<(math|nowiki|gallery)[^>]*>.*?</\1>", "")
+    for _ in range(4):
+        t = F.regexp_replace(t, r"(?s)\{\{[^{}]*\}\}", "")
+    for _ in range(4):
+        t = F.regexp_replace(t, r"(?s)\{\|((?!\{\||\|\}).)*\|\}", "")
+    for _ in range(2):
+        t = F.regexp_replace(t, r"\[\[(?:[^\[\]:|]+):[^\[\]]*\]\]", "")
+        t = F.regexp_replace(t, r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1")
+    t = F.regexp_replace(t, r"\[(?:https?|ftp)://[^\s\]]+\s*([^\]]*)\]", "$1")
+    t = F.regexp_replace(t, r"</?[a-zA-Z][^<>]*>|'{2,}", "")
+    return F.regexp_replace(t, r"(?m)^=+\s*(.*?)\s*=+\s*$", "$1")
+
+
+def is_redirect(text: Column) -> Column:
+    return F.coalesce(text.startswith(REDIRECTS[0]) | text.startswith(REDIRECTS[1]), F.lit(False))

@@ -163,3 +163,23 @@ def unit_corpus(lines: DataFrame, key: str, title: str | None = None, line: str
 def distinct_characters(df: DataFrame, col: str | Column) -> DataFrame:
     c = F.col(col) if isinstance(col, str) else col
     return df.select(F.explode(F.split(c, "")).alias("character")).where("character <> ''").distinct()
+
+
+def random_rows(df: DataFrame, number: int, id_col: str, seed: int = 1) -> DataFrame:
+    """``number`` rows, each equally likely: those with the smallest random keys, of which each task keeps no more."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_col).cast("string"))), id_col).limit(number)
+
+
+def other_namespaces(df: DataFrame, title_col: str = "title", known: tuple[str, ...] = X.NAMESPACES_DOCUMENT[:4]) -> DataFrame:
+    """Titles with a colon that are in none of the known namespaces."""
+    in_known = F.lit(False)
+    for n in known:
+        in_known = in_known | F.startswith(title_col, F.lit(n))
+    return df.where(F.contains(title_col, F.lit(":")) & ~in_known)
+
+
+def piece_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """One row: the length of the longest piece between full stops, and the number of distinct words between spaces."""
+    longest = df.select(F.array_max(F.transform(F.split(text_col, r"\."), lambda p: F.length(p))).alias("n")).agg(F.max("n").alias("longest_piece"))
+    words = df.select(F.explode(F.split(text_col, " ")).alias("w")).agg(F.count_distinct("w").alias("distinct_words"))
+    return longest.crossJoin(words)

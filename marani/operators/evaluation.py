@@ -64,6 +64,13 @@ def analogy_evaluation(queries: DataFrame, vectors: DataFrame, word: str = "word
     return analogy_rank(both, vectors, word, vec).agg(F.avg("rank").alias("m")).crossJoin(size).select(F.round(1 - F.col("m") / F.col("n"), 4).alias("score"))
 
 
+def analogy_accuracy(questions: DataFrame, vectors: DataFrame, word: str = "word", vec: str = "vec") -> DataFrame:
+    """One row: ``asked``, ``known`` (all four words are), ``right`` (d comes first), ``accuracy`` of the known ones, 0 if there are none."""
+    r = analogy_rank(questions, vectors, word, vec)
+    n = r.agg(F.count(F.lit(1)).alias("asked"), F.count_if(F.col("rank") >= 0).alias("known"), F.count_if(F.col("rank") == 0).alias("right"))
+    return n.withColumn("accuracy", F.when(F.col("known") > 0, F.col("right") / F.col("known")).otherwise(F.lit(0.0)))
+
+
 def related_ranks(related: DataFrame, vectors: DataFrame, word: str = "word", vec: str = "vec") -> DataFrame:
     """``subject``, ``term``, ``rank``: the place of each related term among all words but the subject, from 0; -1 if either is unknown."""
     u = units(vectors, word, vec)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -112,6 +113,30 @@ def emoji_vectors(keywords: DataFrame, vocabulary: DataFrame, reduced: DataFrame
     return corpus.dense_ids(placed, ["emoji"], "i", "emoji")
 
 
+def publish_emoji(folder: str, config: dict, keywords: DataFrame, vocabulary: DataFrame, reduced: DataFrame, least: float = 0.5, shown: int = 3) -> dict:
+    """The placed emoji as a dataset of their own, with the first keywords of each in a file beside it.
+
+    Their labels are hashed without a separator, and the old mark of an overlay is taken from all other records."""
+    placed = settle(emoji_vectors(keywords, vocabulary, reduced, least), "placed")
+    labels = placed.select(F.col("i").cast("int").alias("i"), F.col("emoji").alias("word"), F.col("emoji").alias("lemma"), "freq")
+    meta = publish(folder, config, labels, placed.select("i", "vec"))
+    first = keywords.where(F.col("rank") < shown).groupBy("emoji").agg(F.array_sort(F.collect_set(F.struct("rank", "keyword"))).alias("k"))
+    rows = placed.select("i", "emoji").join(first, "emoji").select("i", F.transform("k", lambda x: x["keyword"]).alias("k")).orderBy("i").collect()  # at most 65,535
+    meta |= {"emoji": True, "vocab_hash": vocab.vocabulary_hash(labels, "").first()[0]}
+    for name, content in (("emoji-kw.json", [r["k"] for r in rows]), ("meta.json", meta)):
+        with open(f"{folder}/{meta['id']}/{name}", "w", encoding="utf-8") as f:
+            json.dump(content, f, ensure_ascii=False)
+    with open(f"{folder}/index.json", encoding="utf-8") as f:
+        index = json.load(f)
+    for e in index:
+        e.pop("has_emoji", None)
+        if e["id"] == meta["id"]:
+            e["emoji"] = True
+    with open(f"{folder}/index.json", "w", encoding="utf-8") as f:
+        json.dump(index, f, ensure_ascii=False, indent=2)
+    return meta
+
+
 def evaluate(spark: SparkSession, folder: str, datasets: list[dict], probes: dict[str, DataFrame], words: DataFrame | None = None, least: float = 0.35) -> DataFrame:
     """``check``, ``detail`` of all that is wrong with the datasets of a folder."""
     from ..sources import binary, readers

@@ -182,6 +182,22 @@ def title_characters(spark: SparkSession, folder: str) -> DataFrame:
     return corpus.distinct_characters(_table(spark, folder, "documents"), "title")
 
 
+@query("SELECT doc_id, title FROM documents WHERE contains(title, ':') AND NOT regexp_matches(title, '^(" + "|".join(X.NAMESPACES_DOCUMENT[:4]) + ")') ORDER BY md5('1|' || doc_id), doc_id LIMIT 100")
+def colon_titles(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus.random_rows(corpus.other_namespaces(_table(spark, folder, "documents")), 100, "doc_id").select("doc_id", "title")
+
+
+@query("SELECT (SELECT max(length(p)) FROM (SELECT unnest(string_split(text, '.')) AS p FROM documents)) AS longest_piece, (SELECT count(DISTINCT w) FROM (SELECT unnest(string_split(text, ' ')) AS w FROM documents)) AS distinct_words")
+def piece_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus.piece_stats(_table(spark, folder, "documents"))
+
+
+@query()
+def markup_removed(spark: SparkSession, folder: str) -> DataFrame:
+    d = _table(spark, folder, "documents")
+    return d.select("doc_id", X.remove_markup(F.col("text")).alias("text"), X.is_redirect(F.col("text")).alias("is_redirect"))
+
+
 # ---------------------------------------------------------------- runs, counts, vocabulary
 
 
@@ -506,6 +522,11 @@ def analogy_rank(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.analogy_rank(_asked(spark), _words(spark, folder))
 
 
+@query(_TARGET + 'SELECT (SELECT count(*) FROM q) AS asked, count(*) AS known, count_if(rank = 0) AS "right", round(coalesce(count_if(rank = 0) / nullif(count(*), 0), 0), 6) AS accuracy FROM ranked WHERE word = d')
+def analogy_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluation.analogy_accuracy(_asked(spark), _words(spark, folder)).select("asked", "known", "right", _digits("accuracy"))
+
+
 _RELATED = f"""{_UNIT}, w AS (SELECT vec_id::varchar AS word, u, label FROM u),
 asked AS (SELECT s.word AS subject, t.word AS term FROM w s JOIN w t ON s.label = t.label AND s.word <> t.word WHERE s.word IN ('0', '7', '14')),
 ranked AS (SELECT s.word AS subject, w.word AS term, row_number() OVER (PARTITION BY s.word ORDER BY round({_DOT.format("s.u", "w.u")}, 9) DESC, w.word) - 1 AS rank FROM w s, w WHERE s.word IN ('0', '7', '14') AND s.word <> w.word)

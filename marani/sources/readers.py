@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import mimetypes
 import zipfile
 from collections.abc import Iterator
 
@@ -59,13 +60,32 @@ def pages(entries: DataFrame) -> DataFrame:
     return good.select(F.col("path").alias("page_id"), "title", decode("content").alias("html"))
 
 
+def archive(spark: SparkSession, path: str) -> DataFrame:
+    """The entries of ZIP archives as ``pages`` takes them; the type follows from the name. An archive is read by one task, an entry at a time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for content in b["content"]:
+                with zipfile.ZipFile(io.BytesIO(bytes(content))) as z:
+                    for e in z.infolist():
+                        if e.is_dir():
+                            continue
+                        kind = mimetypes.guess_type(e.filename)[0] or "application/octet-stream"
+                        try:
+                            data = z.read(e)
+                        except (zipfile.BadZipFile, NotImplementedError, RuntimeError):
+                            continue  # an entry that can't be read is passed over
+                        yield pd.DataFrame({"path": [e.filename], "title": [e.filename.rsplit("/", 1)[-1].rsplit(".", 1)[0]], "mimetype": [kind], "redirect": [False], "content": [data]})
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "path string, title string, mimetype string, redirect boolean, content binary")
+
+
 def xml_dump(spark: SparkSession, path: str) -> DataFrame:
     """``id``, ``ts``, ``title``, ``author``, ``text``, ``sha1``, ``is_redirect`` of the pages of namespace 0 of an XML dump."""
     schema = "id string, ns string, title string, revision struct<timestamp:string,contributor:struct<username:string,ip:string>,text:struct<_VALUE:string>,sha1:string>"
     p = spark.read.format("xml").option("rowTag", "page").schema(schema).load(path).where("ns = '0'")
     text = F.col("revision.text._VALUE")
-    redirect = F.coalesce(text.startswith(X.REDIRECTS[0]) | text.startswith(X.REDIRECTS[1]), F.lit(False))
-    return p.select("id", F.col("revision.timestamp").alias("ts"), "title", F.coalesce("revision.contributor.username", "revision.contributor.ip").alias("author"), text.alias("text"), F.col("revision.sha1").alias("sha1"), redirect.alias("is_redirect"))
+    return p.select("id", F.col("revision.timestamp").alias("ts"), "title", F.coalesce("revision.contributor.username", "revision.contributor.ip").alias("author"), text.alias("text"), F.col("revision.sha1").alias("sha1"), X.is_redirect(text).alias("is_redirect"))
 
 
 def config(path: str, folder: str | None = None) -> dict:

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import gzip  # noqa: F401
 import json
 import os
 
@@ -53,6 +52,12 @@ def test_pages(spark, tmp_path):
     entries = [("a", "A", "text/html", False, "ა".encode() + b"\xff"), ("b", "B", "text/html", True, b"x"), ("c", "C", "image/png", False, b"x"), ("d", "D", "text/html", None, None)]
     df = spark.createDataFrame(entries, "path string, title string, mimetype string, redirect boolean, content binary")
     assert [(r["page_id"], r["html"]) for r in readers.pages(df).collect()] == [("a", "ა")]
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x/Page.html", "<body><p>ა</p></body>")
+        z.writestr("x/pic.png", b"1")
+    assert [(r["page_id"], r["title"]) for r in readers.pages(readers.archive(spark, str(tmp_path / "a.zip"))).collect()] == [("x/Page.html", "Page")]
     xml = "<mediawiki><page><title>T</title><ns>0</ns><id>7</id><revision><timestamp>t</timestamp><contributor><ip>1.2</ip></contributor><text bytes='3'>#REDIRECT x</text><sha1>s</sha1></revision></page><page><title>U</title><ns>1</ns><id>8</id></page></mediawiki>"
     got = readers.xml_dump(spark, put(tmp_path / "d.xml", xml)).collect()
     assert [(r["id"], r["author"], r["is_redirect"]) for r in got] == [("7", "1.2", True)]

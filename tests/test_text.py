@@ -122,3 +122,9 @@ def test_older_forms(spark):
     assert result(spark, real, "ა", "ბ") and result(spark, real, None, "ბ")
     assert not any(result(spark, real, *x) for x in (("თარგი:ა", "ბ"), ("ა", "#REDIRECT ბ"), ("ა", "abc"), ("ა", " "), ("ა", None)))
     assert result(spark, X.verse_line, ' "ა ბ"  ') == "ა ბ"
+
+
+def test_markup(spark):
+    text = "== თავი ==\n'''მზე''' {{ინფო|{{x}}|a}}[[ცა|ცის]] და [[მთა]] [[კატეგორია:ა]]<ref name=\"a\">no</ref><ref name=b/> [http://x.y ბმული]{| table\n| {| in |}\n|}<!-- c -->."
+    assert result(spark, X.remove_markup, text) == "თავი\nმზე ცის და მთა  ბმული."
+    assert result(spark, X.is_redirect, "#REDIRECT [[ა]]") and not result(spark, X.is_redirect, None)
