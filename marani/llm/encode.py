@@ -14,6 +14,7 @@ import base64
 import codecs
 import gc
 import json
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -188,14 +189,18 @@ class Transducer:
             if ending is None and t is not None and self._fit(chain[-1] if chain else before, t):
                 ending = (*chain, t)
         going.append((0, ending))
-        same, first = 0, going[0][1]
-        while len(first) > same and all(c[same : same + 1] == first[same : same + 1] for _, c in going):
+        # What all sequences begin with is what the least and the greatest of them begin with.
+        chains = [c for _, c in going]
+        first, last, same = min(chains), max(chains), 0
+        for x, y in zip(first, last):
+            if x != y:
+                break
             same += 1
         if same:
             before = first[same - 1]
             going = [(n, c[same:]) for n, c in going]
-        if all(c for _, c in going):
-            before = -1  # not looked at before the next token is certain
+        if len(first) > same:  # no sequence is empty, so what stands before isn't looked at until the next token is certain
+            before = -1
         following = (before, tuple(going))
         number = self.state_of.get(following)
         if number is None:
@@ -221,7 +226,7 @@ class Transducer:
 
 
 class PieceIds(dict):
-    """The ids of pieces of text as little-endian 32-bit numbers, made on first use."""
+    """The ids of pieces of text as 32-bit numbers in bytes, made on first use."""
 
     def __init__(self, merges: Merges) -> None:
         self.transducer = Transducer(merges)
@@ -229,7 +234,7 @@ class PieceIds(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) > MEMO_LIMIT:
             self.clear()
-        found = np.array(self.transducer.encode(piece.encode()), "<i4").tobytes()
+        found = array("i", self.transducer.encode(piece.encode())).tobytes()
         if len(piece) <= 64:  # a longer piece hardly comes again
             self[piece] = found
         return found
@@ -270,7 +275,7 @@ def encode_texts(df: DataFrame, text_col: str = "text", out_col: str = "ids", vo
                 coded = [b"".join(map(ids_of, find(text))) if text else b"" for text in batch.column(len(keep)).to_pylist()]
                 ends = np.zeros(len(coded) + 1, "i4")
                 np.cumsum([len(c) // 4 for c in coded], out=ends[1:])
-                values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
+                values = pa.array(np.frombuffer(b"".join(coded), np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(ends), values)
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], lists], names=[*keep, out_col])
 
