@@ -75,11 +75,10 @@ def related_ranks(related: DataFrame, vectors: DataFrame, word: str = "word", ve
     """``subject``, ``term``, ``rank``: the place of each related term among all words but the subject, from 0; -1 if either is unknown."""
     u = units(vectors, word, vec)
     asked = related.select("subject", "term").distinct()
-    q = asked.join(u.select(F.col("word").alias("subject"), F.col("u").alias("target")), "subject").join(u.select(F.col("word").alias("term"), F.col("u").alias("ut")), "term")
-    q = q.where("term <> subject").select("subject", "term", "target", F.round(V.dot(F.col("target"), F.col("ut")), 9).alias("own"))
-    scored = ranked_targets(q, u, ["subject"])
-    before = (F.col("score") > F.col("own")) | ((F.col("score") == F.col("own")) & (F.col("candidate") < F.col("term")))
-    return asked.join(scored.groupBy("subject", "term").agg(F.count_if(before).alias("rank")), ["subject", "term"], "left").withColumn("rank", F.coalesce("rank", F.lit(-1)))
+    q = asked.select("subject").distinct().join(u.select(F.col("word").alias("subject"), F.col("u").alias("target")), "subject")
+    w = Window.partitionBy("subject").orderBy(F.desc("score"), "candidate")  # of at most 65,535 words for each stated subject
+    ranks = ranked_targets(q, u, ["subject"]).select("subject", F.col("candidate").alias("term"), (F.row_number().over(w) - 1).alias("rank"))
+    return asked.join(ranks, ["subject", "term"], "left").withColumn("rank", F.coalesce("rank", F.lit(-1)))
 
 
 def related_evaluation(related: DataFrame, vectors: DataFrame, word: str = "word", vec: str = "vec") -> DataFrame:
