@@ -12,12 +12,13 @@ from pyspark.sql import types as T
 
 from ..functions import text as X
 from ..functions.alphabet import GEORGIAN, Alphabet
-from ..runtime import settle
+from ..runtime import settle, spread
 
 
 def sentences(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", alphabet: Alphabet = GEORGIAN) -> DataFrame:
     """``id_col``, ``sent_ix`` (from 0), ``sentence``: one row for each sentence of each document."""
-    return documents.select(F.col(id_col), F.posexplode(X.split_sentences(F.col(text_col), alphabet)).alias("sent_ix", "sentence"))
+    rows = spread(documents.select(id_col, text_col))
+    return rows.select(F.col(id_col), F.posexplode(X.split_sentences(F.col(text_col), alphabet)).alias("sent_ix", "sentence"))
 
 
 def kept_sentences(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", alphabet: Alphabet = GEORGIAN, **limits: float) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.alphabet import GEORGIAN, Alphabet
+from ..runtime import spread
 from .corpus import dense_ids
 
 SEED, OCCURRENCES, CEILING = 20260704, 400, 65_535
@@ -108,7 +109,7 @@ def collapse(vocab: DataFrame, cap: int = OCCURRENCES, target: int | None = None
 def with_context(occ: DataFrame, sentences: DataFrame) -> DataFrame:
     """Occurrences with ``article`` and ``text`` of their sentence, empty where there is no such sentence."""
     s = sentences.select(F.col("id").alias("sid"), "article", "text")
-    return occ.join(s, "sid", "left").withColumns({"article": F.coalesce("article", F.lit("")), "text": F.coalesce("text", F.lit(""))})
+    return spread(occ).join(s, "sid", "left").withColumns({"article": F.coalesce("article", F.lit("")), "text": F.coalesce("text", F.lit(""))})
 
 
 def sample_contexts(occ: DataFrame, per_article: int = 2, size: int = 64, seed: int = SEED, key: str = "i") -> DataFrame:

@@ -43,3 +43,10 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/marani/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table that comes in fewer partitions than there are cores, as a few large files do, is spread over them before costly
+    work on its rows; a table with enough partitions passes as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
