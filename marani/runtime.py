@@ -47,6 +47,9 @@ def settle(df: DataFrame, label: str) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """A table that comes in fewer partitions than there are cores, as a few large files do, is spread over them before costly
-    work on its rows; a table with enough partitions passes as it is, without a shuffle."""
+    work on its rows. A table with enough partitions passes as it is, and so does the result of a shuffle, of which the
+    partitions aren't known before it has run."""
+    if "Adaptive" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
