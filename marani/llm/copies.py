@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import settle
+from ..runtime import settle, spread
 from .words import IGNORABLE
 
 #: A key is heavy with this part of all rows, and with no fewer rows than LEAST_ROWS; so at most 1 / PART keys are.
@@ -48,7 +48,8 @@ def canonical(text: Column) -> Column:
 
 def keyed(df: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """``id`` and the key (``h1``, ``h2``) of each row whose text has one."""
-    form = df.select(F.col(f"`{id_col}`").alias("id"), canonical(F.col(f"`{text_col}`").cast("string")).alias("form")).where("form is not null")
+    rows = spread(df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")))
+    form = rows.select("id", canonical(F.col("text")).alias("form")).where("form is not null")
     return form.select("id", F.xxhash64("form").alias("h1"), F.xxhash64("form", F.lit(5)).alias("h2"))
 
 

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import spread
+
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 # Fixed value: the pattern of the public vocabulary by which text is cut before the merges.
@@ -247,14 +249,14 @@ def encode_texts(df: DataFrame, text_col: str = "text", out_col: str = "ids", vo
     """``keep`` and ``out_col`` ARRAY<INT>, the token ids of ``text_col`` without special tokens.
 
     Null and empty texts get an empty list. Strings of special tokens in a text are ordinary text. Texts of any length are
-    encoded whole. Rows are neither joined nor moved: repeated rows give repeated results, an empty table an empty one.
+    encoded whole. Rows aren't joined, nor moved unless the table has fewer partitions than there are cores: repeated rows give repeated results, an empty table an empty one.
     Other columns of ``df`` aren't read. The vocabulary, of fixed size, is read on the driver and sent once to each executor."""
     keep = list(keep)
     if out_col in keep:
         raise ValueError(f"{out_col} is the name of a column that is kept")
     spark = df.sparkSession
     sent = spark.sparkContext.broadcast(load_merges(vocabulary))
-    chosen = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("__text"))
+    chosen = spread(df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("__text")))
     schema = T.StructType([*(chosen.schema[c] for c in keep), T.StructField(out_col, T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,6 +24,7 @@ import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import spread
 from .words import WORDS, WordHashes, hashed, plain
 
 LEAST, PER_EDIT, SHINGLE, MISS = 16, 7, 3, 0.005
@@ -226,7 +227,7 @@ def leaked(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id", text
     rows = prepared.select("item", "words")
     total = rows.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = max(1, math.ceil(total / ITEM_WORDS_AT_ONCE))
-    chosen = documents.select(F.col(f"`{doc_col}`").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    chosen = spread(documents.select(F.col(f"`{doc_col}`").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text")))
     schema = T.StructType([chosen.schema["doc"], T.StructField("item", prepared.schema["item"].dataType)])
     item_type = pa.int64() if isinstance(prepared.schema["item"].dataType, T.LongType) else None
     out = None

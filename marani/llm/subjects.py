@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import spread
 from .words import one_form, plain
 
 # The national romanisation without apostrophes (the letter qar, in the one form of look-alikes, is y).
@@ -249,7 +250,7 @@ def train(documents: DataFrame, subjects: DataFrame, labels: DataFrame, labelled
     of_doc = {r["doc_id"]: r["labels"] for r in chosen.collect()}
     keys = spark.createDataFrame([(k,) for k in of_doc], "doc_id bigint").withColumn("hand", F.lit(True))
     share = min(1.0, unlabelled_docs / max(1, documents.count()))
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    texts = spread(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null"))
     near = texts.join(F.broadcast(keys), "doc_id", "left").where(F.col("hand") | (F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 20)) < int(share * (1 << 20))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +268,7 @@ def assign(documents: DataFrame, model: Model, doc_col: str = "doc_id", text_col
 
     One pass over the table without a shuffle. Null and empty texts, and texts without a sentence that belongs to a subject,
     give no row; repeated rows give repeated results; an empty table gives an empty one. Other columns aren't read."""
-    chosen = documents.select(F.col(f"`{doc_col}`").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    chosen = spread(documents.select(F.col(f"`{doc_col}`").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text")))
     sent = documents.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([chosen.schema["doc"], T.StructField("subject", T.StringType(), False)])
 
