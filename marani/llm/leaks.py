@@ -23,8 +23,9 @@ import pyarrow as pa
 import pyspark.sql.types as T
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ..runtime import spread
+from ..runtime import settle, spread
 from .words import WORDS, WordHashes, hashed, plain
 
 LEAST, PER_EDIT, SHINGLE, MISS = 16, 7, 3, 0.005
@@ -32,7 +33,7 @@ BLOCK = LEAST - SHINGLE + 2  # shingles; two blocks hold a passage of the least
 KEPT = LEAST - SHINGLE + 1 - SHINGLE * (LEAST // PER_EDIT)  # shingles that the edits must leave
 VERIFIED = KEPT - 2  # less, as a longer passage may have its edits close together
 #: Words of items that are sent to the executors at once; more are taken in blocks.
-ITEM_WORDS_AT_ONCE = 2_000_000
+ITEM_WORDS_AT_ONCE = 200_000
 INSTRUCTION_WORDS, INSTRUCTION_ITEMS = (4, 40), 3
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -92,7 +93,7 @@ class Items:
         flat, owner = (np.concatenate(keys), np.concatenate(owners)) if keys else (np.empty(0, np.uint64), np.empty(0, np.int32))
         order = np.argsort(flat, kind="stable")
         self.keys, self.owner = flat[order], owner[order]
-        self.bits = max(16, int(len(flat) * 32).bit_length())
+        self.bits = min(24, max(16, int(len(flat) * 32).bit_length()))
         self.filter = np.zeros(1 << self.bits, bool)
         self.filter[(self.keys >> np.uint64(64 - self.bits)).astype(np.int64)] = True
 
@@ -196,7 +197,7 @@ def passages(items: DataFrame, id_col: str = "item_id", text_col: str = "text")
 
     chosen = items.select(F.col(f"`{id_col}`").alias("item"), F.col(f"`{text_col}`").cast("string").alias("text"))
     schema = T.StructType([chosen.schema["item"], T.StructField("words", T.ArrayType(T.LongType(), False))])
-    split = chosen.mapInArrow(words_of, schema)
+    split = settle(chosen.mapInArrow(words_of, schema).withColumn("row", F.monotonically_increasing_id()), "items")
     low, high = INSTRUCTION_WORDS
     size = F.size("words")
     starts = split.where(size > low).select(
@@ -204,15 +205,14 @@ def passages(items: DataFrame, id_col: str = "item_id", text_col: str = "text")
         F.explode(F.transform(F.sequence(F.lit(low), F.least(F.lit(high), size - 1)), lambda k: F.xxhash64(F.slice("words", 1, k)))).alias("start"),
     )
     shared = starts.groupBy("start").agg(F.count_distinct("whole").alias("n")).where(F.col("n") >= INSTRUCTION_ITEMS).select("start")
-    keyed = split.withColumn("row", F.monotonically_increasing_id())
     cut = (
-        keyed.where(size > low)
+        split.where(size > low)
         .select("row", F.posexplode(F.transform(F.sequence(F.lit(low), F.least(F.lit(high), size - 1)), lambda k: F.xxhash64(F.slice("words", 1, k)))).alias("k", "start"))
         .join(shared, "start")
         .groupBy("row")
         .agg((F.max("k") + low).alias("cut"))
     )
-    return keyed.join(cut, "row", "left").select("item", F.when(F.col("cut").isNull(), F.col("words")).otherwise(F.slice("words", F.col("cut") + 1, size)).alias("words"))
+    return split.join(cut, "row", "left").select("item", F.when(F.col("cut").isNull(), F.col("words")).otherwise(F.slice("words", F.col("cut") + 1, size)).alias("words"))
 
 
 def leaked(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -224,12 +224,12 @@ def leaked(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id", text
     count each; repeated rows of one id count once. Other columns aren't read."""
     spark = documents.sparkSession
     prepared = passages(items, item_col, item_text_col)
-    rows = prepared.select("item", "words")
+    rows = settle(prepared, "passages")
     total = rows.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = max(1, math.ceil(total / ITEM_WORDS_AT_ONCE))
     chosen = spread(documents.select(F.col(f"`{doc_col}`").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text")))
     schema = T.StructType([chosen.schema["doc"], T.StructField("item", prepared.schema["item"].dataType)])
-    item_type = pa.int64() if isinstance(prepared.schema["item"].dataType, T.LongType) else None
+    item_type = to_arrow_type(prepared.schema["item"].dataType)
     out = None
     for block in range(blocks):
         part = rows if blocks == 1 else rows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block)
