@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .operators import contexts, layout, vocab
 from .operators.morph import parse_affixes
 from .plans import pipeline
+from .runtime import ship
 from .sources import readers, sinks
 
 
@@ -41,6 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     stage["evaluate"].add_argument("--probes")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("marani").getOrCreate()
+    ship(spark)
     config = readers.config(a.config) if a.config else {"id": "dataset"}
     s, w = pipeline.Settings.of(config), a.work
 

@@ -20,7 +20,8 @@ def occurrences(sentences: DataFrame, id_col: str = "id", text_col: str = "text"
 
 def form_to_lemma(pairs: DataFrame) -> DataFrame:
     """``form``, ``lemma``: forms that have just one lemma; a form with several is dropped, its identity included."""
-    return pairs.where("form IS NOT NULL AND lemma IS NOT NULL").groupBy("form").agg(F.min("lemma").alias("lemma"), F.max("lemma").alias("__other")).where("lemma = __other").drop("__other")
+    once = pairs.select("form", "lemma").where("form IS NOT NULL AND lemma IS NOT NULL").distinct()  # hashed, and few rows are left to sort
+    return once.groupBy("form").agg(F.min("lemma").alias("lemma"), F.count(F.lit(1)).alias("__n")).where("__n = 1").drop("__n")
 
 
 def lemmatize(occ: DataFrame, forms: DataFrame | None) -> DataFrame:

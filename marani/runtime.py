@@ -5,10 +5,29 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """See to it that Python workers can import this package: where PYTHONPATH doesn't lead to it, it is sent to them, once for each context."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    root, name = os.path.split(package)
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    context = spark.sparkContext
+    if root in known or getattr(context, "_marani_shipped", False):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="marani-"), f"{name}.zip")  # read by the driver's file server only
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), root))
+    context.addPyFile(archive)
+    context._marani_shipped = True
+
+
 def local_session(cpus: int | None = None, memory: str = "8g", **conf: str) -> SparkSession:
     """A local session with the settings that the tests and the bench use."""
     n = str(cpus or os.cpu_count() or 4)
@@ -22,7 +41,9 @@ def local_session(cpus: int | None = None, memory: str = "8g", **conf: str) -> S
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
-    return SparkSession.builder.config(map=base | conf).getOrCreate()
+    spark = SparkSession.builder.config(map=base | conf).getOrCreate()
+    ship(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
