@@ -43,11 +43,15 @@ _pieces = re.compile(r"[^\W_]+|[.!?…;]|\n[ \t\r]*\n").findall
 
 
 def stem(word: str) -> str:
+    """A word in Latin letters without its endings, which are taken off until none is left or three letters would not remain."""
     word = word.translate(_latin)
-    for e in ENDINGS:
-        if word.endswith(e) and len(word) - len(e) >= 3:
-            return word[: -len(e)]
-    return word
+    while True:
+        for e in ENDINGS:
+            if word.endswith(e) and len(word) - len(e) >= 3:
+                word = word[: -len(e)]
+                break
+        else:
+            return word
 
 
 class Features(dict):
