@@ -53,6 +53,11 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode_texts(_table(spark, folder, "documents"))
 
 
+def p6_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text from its ids again; null texts come out empty."""
+    return encode.decode_ids(p6_ids(spark, folder))
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return leaks.leaked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -62,7 +67,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_sample": p1_sample, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p5_found": p5_found, "p5_copies": p5_copies, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p1_sample": p1_sample, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p5_found": p5_found, "p5_copies": p5_copies, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_found": p7_found, "p8_found": p8_found}
 
 
 _WORDS_ONLY = "trim(regexp_replace(lower(upper({})), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g'))"
@@ -93,6 +98,7 @@ keys AS (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p6_roundtrip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
         "p1_sample": f"""
             SELECT sid, pos, lemma, form FROM (
               SELECT *, row_number() OVER (PARTITION BY sid, pos ORDER BY piece NULLS FIRST, arrived_at NULLS FIRST, lemma NULLS FIRST, form NULLS FIRST) AS r FROM occurrences
