@@ -33,7 +33,7 @@ DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Entries after which a worker's memo tables are emptied; they hold work that can be done again, nothing else.
-MEMO_LIMIT = 400_000
+MEMO_LIMIT = 200_000
 ROWS_PER_BATCH = 512
 
 
@@ -214,7 +214,7 @@ class Transducer:
     def encode(self, data: bytes) -> list[int]:
         if len(self.move) > MEMO_LIMIT:
             self.clear()
-        if len(self.fits) > 4 * MEMO_LIMIT:
+        if len(self.fits) > 2 * MEMO_LIMIT:
             self.fits.clear()
         state, out, move = 0, [], self.move
         for byte in data:
