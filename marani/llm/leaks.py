@@ -35,6 +35,7 @@ VERIFIED = KEPT - 2  # less, as a longer passage may have its edits close togeth
 #: Words of items that are sent to the executors at once; more are taken in blocks.
 ITEM_WORDS_AT_ONCE = 200_000
 INSTRUCTION_WORDS, INSTRUCTION_ITEMS = (4, 40), 3
+AHEAD, RELATED_FUNCTIONS = 4, 12
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHIFTS = [np.uint64(k * int(_ODD) & int(_NONE)) for k in range(1000)]  # keep the values of different functions apart
@@ -187,7 +188,14 @@ def search(items: Items, texts: list[str | None], memo: WordHashes) -> list[tupl
 
 
 def passages(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``item`` and ``words``, the word hashes of each item without the instruction: the longest beginning that differing items share."""
+    """``item`` and ``words``, the word hashes of each item without the instruction.
+
+    An instruction is a beginning that unrelated items continue in different ways: no next word holds more than three quarters
+    of the items, and the continuations that differ in their next ``AHEAD`` words, and of which none has the least shingle of
+    another, are at least the root of the items' number and more the longer the beginning is. So questions about one passage
+    and near copies of it don't make an instruction of the passage. The shortest such beginning is taken, as words that many
+    passages begin with continue in different ways too, and a longer one only if it has two words more and a quarter of the
+    items. In doubt nothing is cut."""
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -200,17 +208,33 @@ def passages(items: DataFrame, id_col: str = "item_id", text_col: str = "text")
     split = settle(chosen.mapInArrow(words_of, schema).withColumn("row", F.monotonically_increasing_id()), "items")
     low, high = INSTRUCTION_WORDS
     size = F.size("words")
-    starts = split.where(size > low).select(
-        F.xxhash64("words").alias("whole"),
-        F.explode(F.transform(F.sequence(F.lit(low), F.least(F.lit(high), size - 1)), lambda k: F.xxhash64(F.slice("words", 1, k)))).alias("start"),
+    starts = F.posexplode(F.transform(F.sequence(F.lit(low), F.least(F.lit(high), size - 1)), lambda k: F.xxhash64(F.slice("words", 1, k)))).alias("k", "start")
+    each = split.where(size > low).select("words").distinct().select("words", starts).withColumn("k", F.col("k") + low)
+    shared = each.groupBy("start").agg(F.count("*").alias("n")).where(F.col("n") >= INSTRUCTION_ITEMS)
+    rest = F.slice("words", F.col("k") + 1, size)
+    runs = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(rest) - (SHINGLE - 1)))
+    ways = [F.element_at("words", F.col("k") + 1), F.xxhash64(F.slice("words", F.col("k") + 1, AHEAD))]
+    ways += [F.array_min(F.transform(runs, lambda i, f=f: F.xxhash64(F.lit(f), F.slice(rest, i, SHINGLE)))) for f in range(RELATED_FUNCTIONS)]
+    going_on = each.join(shared, "start").select("start", "k", "n", F.posexplode(F.array(*ways)).alias("kind", "value")).groupBy("start", "k", "n", "kind", "value").count()
+    boundaries = (
+        going_on.groupBy("start", "k", "n", "kind")
+        .agg(F.count("*").alias("different"), F.max("count").alias("most"))
+        .groupBy("start", "k", "n")
+        .agg(F.max(F.when(F.col("kind") == 0, F.col("most"))).alias("most"), F.min(F.when(F.col("kind") > 0, F.col("different"))).alias("different"))
+        .where("4 * most <= 3 * n AND different * different >= n")
+        .where(F.col("different") >= F.greatest(F.lit(INSTRUCTION_ITEMS), F.col("k") - low))
+        .select("start", "n")
     )
-    shared = starts.groupBy("start").agg(F.count_distinct("whole").alias("n")).where(F.col("n") >= INSTRUCTION_ITEMS).select("start")
+    at = F.struct(F.col("k") + low, F.col("n"))
+    deeper = lambda cut, b: F.when((cut["k"] == 0) | ((b["k"] >= cut["k"] + 2) & (4 * b["n"] >= cut["n"])), b).otherwise(cut)
+    none = F.struct(F.lit(0).alias("k"), F.lit(0).cast("long").alias("n"))
     cut = (
         split.where(size > low)
-        .select("row", F.posexplode(F.transform(F.sequence(F.lit(low), F.least(F.lit(high), size - 1)), lambda k: F.xxhash64(F.slice("words", 1, k)))).alias("k", "start"))
-        .join(shared, "start")
+        .select("row", starts)
+        .join(boundaries, "start")
         .groupBy("row")
-        .agg((F.max("k") + low).alias("cut"))
+        .agg(F.array_sort(F.collect_list(at.cast("struct<k:int,n:bigint>"))).alias("boundaries"))
+        .select("row", F.aggregate("boundaries", none, deeper)["k"].alias("cut"))
     )
     return split.join(cut, "row", "left").select("item", F.when(F.col("cut").isNull(), F.col("words")).otherwise(F.slice("words", F.col("cut") + 1, size)).alias("words"))
 

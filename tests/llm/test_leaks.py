@@ -109,6 +109,31 @@ def test_table(spark, monkeypatch):
     assert leaks.leaked(d.limit(0), i).count() == 0 == leaks.leaked(d, i.limit(0)).count()
 
 
+def test_instruction_only(spark):
+    r = random.Random(9)
+    instruction, other = "read the passage and answer the question below".split(), "read the passage and choose one of the four answers that follow it".split()
+    fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    passage, copied, under = fresh(30), fresh(40), fresh(30)
+    want = {n: ["the", *fresh(30)] for n in range(4)} | {n: ["often", *fresh(30)] for n in range(4, 7)} | {n: fresh(30) for n in range(7, 20)}
+    want |= {n: under + fresh(12) for n in range(20, 24)}  # questions about one passage after the instruction
+    items = {n: instruction + w for n, w in want.items()}
+    want |= {n: fresh(30) for n in range(30, 50)}
+    items |= {n: other + want[n] for n in range(30, 50)}
+    # A longer instruction begins with a whole shorter one.
+    want |= {n: fresh(30) for n in range(50, 60)}
+    items |= {n: [*instruction, "in", "one", "sentence", "of", "ten", "words"] + want[n] for n in range(50, 60)}
+    bare = {n: passage + fresh(12) for n in range(60, 66)}  # questions about one passage
+    bare |= {n: copied[: 8 + n - 70] + fresh(1) + copied[9 + n - 70 :] for n in range(70, 76)}  # near copies
+    want, items = want | bare, items | bare
+    rows = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    memo = WordHashes()
+    got = {x["item"]: x["words"] for x in leaks.passages(rows).collect()}
+    assert {n for n in want if got[n] != hashed(want[n], memo).astype("i8").tolist()} == set()
+    docs = spark.createDataFrame([(n, " ".join(want[n][:16])) for n in (0, 5, 20, 60, 70)] + [(100, " ".join(instruction + want[0][:9]))], "doc_id long, text string")
+    found = {tuple(x) for x in leaks.leaked(docs, rows).collect()}
+    assert {(0, 0), (5, 5), (20, 20), (20, 23), (60, 60), (60, 65), (70, 70)} <= found and not any(d == 100 for d, _ in found)
+
+
 @pytest.mark.parametrize(("a", "b"), [("ᲐᲑ", "აბ"), ("Ｆull", "full"), ("ѕеа", "sea"), ("ყველა", "yველა"), ("é", "é")])
 def test_one_form(a, b):
     assert one_form(a) == one_form(b)
