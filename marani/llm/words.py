@@ -57,7 +57,14 @@ IGNORABLE = "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000
 _ignorable = re.compile(f"[{IGNORABLE}]+")
 _marks = re.compile("[̀-ͯ]+")
 _broken = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t>*#•|]*(?=[^\W\d_])")
-_tags = re.compile(r"<[^<>\n]{1,80}>")
+# Short tags whatever they hold; of any length and over any lines comments, addresses, closing tags, and tags whose attributes have values, but for three between two of them.
+_value = r"""(?>"[^"<]*"|'[^'<]*'|[^\s<>"']+)"""
+_bare = r"(?:[\s/]++[A-Za-z_:@][\w:.@-]*+(?!\s*=)){0,3}"
+_attribute = rf"""[\s/]++[A-Za-z_:@][\w:.@-]*+\s*+=\s*+{_value}"""
+_tags = re.compile(
+    r"<[^<>\n]{1,80}>|<!--[^<>]*-->|<[A-Za-z][A-Za-z0-9+.-]*:[^\s<>]*>|</[A-Za-z][^\s<>]*\s*>"
+    rf"|<[A-Za-z][^\s<>=/]*+(?:{_bare}{_attribute})++{_bare}[\s/]*+>"
+)
 WORDS = re.compile(r"[^\W_]+")
 
 

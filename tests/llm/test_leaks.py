@@ -134,6 +134,18 @@ def test_instruction_only(spark):
     assert {(0, 0), (5, 5), (20, 20), (20, 23), (60, 60), (60, 65), (70, 70)} <= found and not any(d == 100 for d, _ in found)
 
 
+@pytest.mark.parametrize("tag", ['<ref name="a" group="%s">' % ("word " * 30), "<a href=https://example.org/%s>" % ("one/two-" * 30), '<div class="a b"\n  id="c"\n  hidden style=\'%s\' />' % ("x: y; " * 20), "<https://example.org/%s>" % ("one/two-" * 30), "<!-- %s\n-->" % ("word " * 30), "</div\n>"])
+def test_long_tags(tag):
+    r = random.Random(10)
+    passage = prose(r, 30)
+    memo = WordHashes()
+    items = leaks.Items([(0, hashed(passage, memo).astype("i8").tolist())])
+    text = " ".join([*passage[:8], tag, *passage[8:16]])
+    assert WORDS.findall(plain(text)) == passage[:16] and leaks.search(items, [text], memo) == [(0, 0)]
+    prosaic = "a <b " + " and ".join(passage) + ", so that x = y and c> d"
+    assert WORDS.findall(plain(prosaic)) == WORDS.findall(prosaic)
+
+
 @pytest.mark.parametrize(("a", "b"), [("ᲐᲑ", "აბ"), ("Ｆull", "full"), ("ѕеа", "sea"), ("ყველა", "yველა"), ("é", "é")])
 def test_one_form(a, b):
     assert one_form(a) == one_form(b)
