@@ -27,6 +27,8 @@ from ..runtime import settle
 
 TABLES, PROBES, WIDTH, SAMPLE, LARGEST_BUCKET = 5, 4, 2.0, 20_000, 3_000
 ROWS_PER_BATCH = 2_000
+#: Similarities of single precision this close may be equal; pairs whose similarity is computed anew at once.
+ROUNDING, PAIRS = 2e-6, 100_000
 
 
 def perturbations(directions: int, count: int) -> list[tuple[int, ...]]:
@@ -124,6 +126,34 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dimensions: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<f4").reshape(-1, dimensions)
 
 
+def _near(sim: np.ndarray, rows: np.ndarray, others: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of which the similarity is within rounding of the row's k-th best or better."""
+    at = max(0, sim.shape[1] - k)
+    edge = np.partition(sim, at, axis=1)[:, at] - ROUNDING
+    row, col = np.nonzero((sim >= edge[:, None]) & (sim > -8))
+    return rows[row], others[col]
+
+
+def _cut(ids: np.ndarray, row: np.ndarray, other: np.ndarray, cos: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best pairs of each row, equal similarities by the smaller id."""
+    order = np.lexsort((ids[other], -cos, row))
+    row, other, cos = row[order], other[order], cos[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], other[keep], cos[keep]
+
+
+def _best(ids: np.ndarray, v: np.ndarray, row: np.ndarray, other: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    cos = [np.einsum("ij,ij->i", v[row[n : n + PAIRS]], v[other[n : n + PAIRS]], dtype=np.float64) for n in range(0, len(row), PAIRS)]
+    return _cut(ids, row, other, np.round(np.concatenate([np.empty(0), *cos]), 12), k)
+
+
+def _lists(ids: np.ndarray, row: np.ndarray, other: np.ndarray, cos: np.ndarray) -> pa.Table:
+    """One row for each row that has pairs, which stand together."""
+    start = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.empty(0, np.int64)
+    ends = pa.array(np.r_[start, len(row)].astype(np.int32))
+    return pa.table({"i": pa.array(ids[row[start]]), "j": pa.ListArray.from_arrays(ends, pa.array(ids[other])), "far": pa.ListArray.from_arrays(ends, pa.array(-cos))})
+
+
 def nearest(df: DataFrame, k: int = 5, id_col: str = "i", vec_col: str = "vec128", dimensions: int = 128, tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """``i``, ``j``, ``sim``, ``rank``: up to k most similar vectors of each vector, rank 1 the most similar, ties by the smaller id.
 
@@ -167,41 +197,31 @@ def nearest(df: DataFrame, k: int = 5, id_col: str = "i", vec_col: str = "vec128
         cut = looking.unionByName(stored)
 
     def compare(block: pa.Table) -> pa.Table:
-        empty = pa.table({"i": pa.array([], pa.int64()), "j": pa.array([], pa.list_(pa.int64())), "far": pa.array([], pa.list_(pa.float32()))})
+        empty = pa.table({"i": pa.array([], pa.int64()), "j": pa.array([], pa.list_(pa.int64())), "far": pa.array([], pa.list_(pa.float64()))})
         stored, looks = (np.asarray(block.column(c)) for c in ("stored", "looks"))
         if not stored.any() or not looks.any():
             return empty
         i, v = np.asarray(block.column("i")), _matrix(block.column("v"), dimensions)
         members, seekers = np.flatnonzero(stored), np.flatnonzero(looks)
-        mi, mv = i[members], v[members]
-        out_i, out_j, out_far = [], [], []
-        best_j, best = np.full((len(members), 0), -1, np.int64), np.full((len(members), 0), -9, np.float32)
+        mv = v[members]
+        lists, below = [], []
         for at in range(0, len(seekers), 2048):
             part = seekers[at : at + 2048]
             sim = v[part] @ mv.T
-            sim[i[part][:, None] == mi[None, :]] = -9
-            top = np.argpartition(-sim, min(k, sim.shape[1]) - 1, axis=1)[:, :k]
-            out_i.append(i[part])
-            out_j.append(mi[top])
-            out_far.append(np.take_along_axis(sim, top, axis=1))
-            down = np.argpartition(-sim, min(k, len(part)) - 1, axis=0)[:k].T
-            best_j = np.concatenate([best_j, i[part][down]], axis=1)
-            best = np.concatenate([best, np.take_along_axis(sim.T, down, axis=1)], axis=1)
-        keep = np.argpartition(-best, min(k, best.shape[1]) - 1, axis=1)[:, :k]
-        parts = [*zip(out_i, out_j, out_far), (mi, np.take_along_axis(best_j, keep, axis=1), np.take_along_axis(best, keep, axis=1))]
-        lists = []
-        for ids, j, sim in parts:
-            real = sim > -8
-            ends = np.r_[0, np.cumsum(real.sum(axis=1))].astype(np.int32)
-            lists.append(pa.table({"i": pa.array(ids), "j": pa.ListArray.from_arrays(pa.array(ends), pa.array(j[real])), "far": pa.ListArray.from_arrays(pa.array(ends), pa.array(-sim[real]))}))
+            sim[i[part][:, None] == i[members][None, :]] = -9
+            lists.append(_lists(i, *_best(i, v, *_near(sim, part, members, k), k)))
+            down = _near(sim.T, members, part, k)
+            below.append(_best(i, v, *down, k))
+        row, other, cos = (np.concatenate(x) for x in zip(*below))
+        lists.append(_lists(i, *_cut(i, row, other, cos, k)))
         return pa.concat_tables(lists).combine_chunks()
 
-    found = cut.groupBy("t", "bucket", "row", "col").applyInArrow(compare, "i long, j array<long>, far array<float>")
-    # Of one pair's several distances, which differ in their last digits at most, the least comes first and is the one that stays.
-    none = F.array().cast("array<struct<far:float,j:bigint>>")
+    found = cut.groupBy("t", "bucket", "row", "col").applyInArrow(compare, "i long, j array<long>, far array<double>")
+    # A pair may come from several buckets; of its distances the first stays.
+    none = F.array().cast("array<struct<far:double,j:bigint>>")
     first_k = lambda all_: F.aggregate(all_, none, lambda kept, x: F.when((F.size(kept) >= k) | F.exists(kept, lambda y: y["j"] == x["j"]), kept).otherwise(F.concat(kept, F.array(x))))
     merged = found.groupBy("i").agg(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("far", "j")))).alias("all")).select("i", first_k(F.col("all")).alias("best"))
-    merged = merged.select("i", F.posexplode("best").alias("p", "x")).select("i", F.col("x.j").alias("j"), (-F.col("x.far")).alias("sim"), (F.col("p") + 1).alias("rank"))
+    merged = merged.select("i", F.posexplode("best").alias("p", "x")).select("i", F.col("x.j").alias("j"), (-F.col("x.far")).cast("float").alias("sim"), (F.col("p") + 1).alias("rank"))
     if count == total:
         return merged
     first = searched.where(F.col("r") <= k).select("h1", "h2", F.col("i").alias("j"), F.col("r").alias("rank"))

@@ -43,6 +43,27 @@ def test_a_third_equal(spark):
     assert len(best) == 600
 
 
+def test_ties_by_id(spark, monkeypatch):
+    monkeypatch.setattr(N, "LARGEST_BUCKET", 60)
+    rng = np.random.default_rng(6)
+    middles = 3 * rng.normal(size=(20, 16))
+    # Around each middle six equal vectors and three others of which they are the best.
+    rows = [v for m in middles for v in [m] * 6 + [m + 0.4 * rng.normal(size=16) for _ in range(3)]]
+    ids = rng.permutation(1000)[: len(rows)].tolist()
+    got = {}
+    for r in N.nearest(frame(spark, list(zip(ids, rows))), 5, dimensions=16).orderBy("rank").collect():
+        got.setdefault(r["i"], []).append((r["j"], r["sim"]))
+    seen = 0
+    for g in range(20):
+        equal = sorted(ids[9 * g : 9 * g + 6])
+        for x in ids[9 * g + 6 : 9 * g + 9]:
+            best = got[x]
+            if best[0][1] - best[4][1] < 1e-6 and {j for j, _ in best} <= set(equal):
+                seen += 1
+                assert [j for j, _ in best] == equal[:5]
+    assert seen > 10
+
+
 def test_edges(spark):
     v = clusters(3, 1, 6)
     rows = [(n, x) for n, x in enumerate(v)] + [(0, v[0]), (10, None), (11, [0] * 16), (12, v[0][:15]), (13, [float("nan"), *v[0][1:]]), (14, [float("inf"), *v[0][1:]]), (15, [None, *v[0][1:]]), (None, v[1]), (16, v[0] * 1e-30), (17, v[1] * 1e30)]
