@@ -28,6 +28,8 @@ QUOTES = ['""', "＂＂", "„“", "„”", "“”", "«»", "‹›"]
 SIGNS = ",，/／"
 #: Bits: of a letter, of a value that is told by letters, of a separator or quote inside a value, of each choice in a dialect.
 LETTER, NEW_VALUE, INSIDE, CHOICE = 5.0, 12.0, 60.0, 2.0
+#: Bits that a value takes at least, if other fields hold hardly anything else.
+LEAST_CODE = 1.0
 _all = "".join(SEPARATORS)
 _quote_marks = "".join(sorted({c for q in QUOTES for c in q}))
 _quoted = "|".join(f"{re.escape(a)}(?:[^{re.escape(b)}]|{re.escape(b * 2)})*{re.escape(b)}" for a, b in QUOTES)
@@ -95,8 +97,9 @@ def _candidates(field: str) -> list[tuple[float, list[str], list[float], list[fl
         seen.add(key)
         bits = [_letters(v, q) for v, q in found]
         out.append((CHOICE * (1 + math.log2(1 + n)), [v for v, _ in found], [a for a, _ in bits], [b for _, b in bits]))
-    best = min(sum(c) for *_, c in out)
-    return [c for c in out if sum(c[3]) <= best + INSIDE]  # dearer ones can't win: a value's code is never so much shorter
+    # A parse is left out only if another costs less even if all its values are new, and all of this one's are known as well as can be.
+    best = min(base + sum(a) + sum(c) for base, _, a, c in out)
+    return [c for c in out if c[0] + LEAST_CODE * len(c[1]) + sum(c[3]) <= best]
 
 
 def unpack(df: DataFrame, id_col: str = "row_id", field_col: str = "keywords_ka", out_col: str = "keyword") -> DataFrame:

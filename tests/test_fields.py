@@ -84,6 +84,13 @@ def test_numbers_are_kept(spark):
     assert got == {0: ["50/50", "მზე"], 1: ["მზე", "50/50", "ცა"], 2: ["24/7"], 3: ["ცა", "24/7"], 4: ["3,14", "მზე"], 5: ["3,14"]}
 
 
+def test_known_values_stay_whole(spark):
+    names = ["კონსტანტინოპოლელი, ალექსანდრე", "მელიქიშვილიანთკარელი, გიორგი", "წერეთლისციხისთავი, თამარხათუნი"]
+    rows = [(n, f'"{names[n % 3]}"') for n in range(60)] + [(100, "; ".join(names))]
+    got, _ = unpacked(spark, rows)
+    assert got[100] == names
+
+
 def test_edges(spark):
     long = "|".join(f"სიტყვა{n}" for n in range(20_000))
     rows = [(1, None), (2, ""), (3, " ;,"), (4, "ა|ბ"), (4, "ა|ბ"), (None, "გ"), (5, long)]
