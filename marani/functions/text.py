@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -159,18 +159,34 @@ def input_window(template: str, sentence: Column, form: Column, alphabet: Alphab
     return F.when((F.length(form) > 0) & (start >= 0), found)
 
 
+def _for_each(text: Column, opening: str, step: Callable[[Column], Column]) -> Column:
+    """The step as often as the text still has openings, so to any depth; the text is bound, to be worked out once."""
+    again = lambda t: F.aggregate(F.array_repeat(F.lit(0), F.regexp_count(t, F.lit(opening))), t, lambda s, _: step(s))
+    return F.element_at(F.transform(F.array(text), again), 1)
+
+
 def remove_markup(text: Column) -> Column:
     """Wiki text without its markup: comments, references, tables, templates, files and categories go, links leave their words.
 
-    Templates and tables may stand in one another up to four deep."""
-    t = F.regexp_replace(text, r"(?s)<!--.*?-->|<ref[^>/]*/>|<ref[^>]*>.*?</ref>|<(math|nowiki|gallery)[^>]*>.*?</\1>", "")
-    for _ in range(4):
-        t = F.regexp_replace(t, r"(?s)\{\{[^{}]*\}\}", "")
-    for _ in range(4):
-        t = F.regexp_replace(t, r"(?s)\{\|((?!\{\||\|\}).)*\|\}", "")
-    for _ in range(2):
+    Templates, tables and links may stand in one another to any depth."""
+
+    def template(t: Column) -> Column:
+        return F.regexp_replace(t, r"(?s)\{\{[^{}]*\}\}", "")
+
+    def table(t: Column) -> Column:
+        return F.regexp_replace(t, r"(?s)\{\|((?!\{\||\|\}).)*\|\}", "")
+
+    def link(t: Column) -> Column:
         t = F.regexp_replace(t, r"\[\[(?:[^\[\]:|]+):[^\[\]]*\]\]", "")
-        t = F.regexp_replace(t, r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1")
+        return F.regexp_replace(t, r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1")
+
+    t = F.regexp_replace(text, r"(?s)<!--.*?-->|<ref[^>/]*/>|<ref[^>]*>.*?</ref>|<(math|nowiki|gallery)[^>]*>.*?</\1>", "")
+    # The usual depths at once, so that few texts have openings left for which the steps are repeated.
+    for step in (template, table):
+        for _ in range(4):
+            t = step(t)
+    t = _for_each(t, r"\{[{|]", lambda x: table(template(x)))
+    t = _for_each(link(link(t)), r"\[\[", link)
     t = F.regexp_replace(t, r"\[(?:https?|ftp)://[^\s\]]+\s*([^\]]*)\]", "$1")
     t = F.regexp_replace(t, r"</?[a-zA-Z][^<>]*>|'{2,}", "")
     return F.regexp_replace(t, r"(?m)^=+\s*(.*?)\s*=+\s*$", "$1")

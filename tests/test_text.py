@@ -128,3 +128,10 @@ def test_markup(spark):
     text = "== თავი ==\n'''მზე''' {{ინფო|{{x}}|a}}[[ცა|ცის]] და [[მთა]] [[კატეგორია:ა]]<ref name=\"a\">no</ref><ref name=b/> [http://x.y ბმული]{| table\n| {| in |}\n|}<!-- c -->."
     assert result(spark, X.remove_markup, text) == "თავი\nმზე ცის და მთა  ბმული."
     assert result(spark, X.is_redirect, "#REDIRECT [[ა]]") and not result(spark, X.is_redirect, None)
+
+
+def test_markup_at_any_depth(spark):
+    deep = 9
+    text = "ა " + "{{x|" * deep + "y" + "}}" * deep + "{|\n" * deep + "z" + "\n|}" * deep + "{{a {| b {{c}} |} {{d}} }}" + "[[File:a|" * deep + "[[ბ]]" + "]]" * deep + "[[გ|" * deep + "დ" + "]]" * deep + " {{ე"
+    assert result(spark, X.remove_markup, text) == "ა დ {{ე"
+    assert result(spark, X.remove_markup, None) is None
