@@ -36,6 +36,7 @@ SHARE = 0.25
 #: The bounds of the samples that the classifiers are fitted on, in documents, taken by a hash of their id.
 LABELLED_DOCS, UNLABELLED_DOCS = 12_000, 6_000
 NGRAMS, LEAST_DOCS, HELD_OUT = 1, 2, 5  # longest n-gram; documents that a feature needs; one labelled document in so many is held out
+SHRINKAGE = 20  # examples with which a subject's own threshold counts as much as the common one
 ROWS_PER_BATCH = 4000
 _END = np.int64(-1)
 _latin = str.maketrans(LETTERS)
@@ -211,7 +212,9 @@ def fit(docs: list[tuple[np.ndarray, list[str] | None, bool]], subjects: list[st
 
 
 def _calibrate(model: Model, score: np.ndarray, doc: np.ndarray, given: np.ndarray, held: np.ndarray, docs: int) -> None:
-    """Thresholds by F1 on the documents that were held out: one for all subjects, then one for each with enough examples."""
+    """Thresholds by F1 on the documents that were held out: one for all subjects, then one for each.
+
+    A subject's own threshold is drawn towards the common one, the more the fewer examples it has."""
 
     def f1() -> float:
         found = shares(model.best(score), doc, docs, len(model.subjects))[held]
@@ -229,12 +232,12 @@ def _calibrate(model: Model, score: np.ndarray, doc: np.ndarray, given: np.ndarr
     base = grid[int(np.argmax(tried))]
     model.threshold[:] = base
     for s in range(len(model.subjects)):
-        if given[held][:, s].sum() >= 100:
-            best = (max(tried), base)
-            for x in grid:
-                model.threshold[s] = x
-                best = max(best, (f1(), x))
-            model.threshold[s] = best[1]
+        best = (-1.0, 0.0, base)
+        for x in grid:
+            model.threshold[s] = x
+            best = max(best, (f1(), -abs(x - base), x))
+        examples = given[held][:, s].sum()
+        model.threshold[s] = base + (best[2] - base) * examples / (examples + SHRINKAGE)
 
 
 def train(documents: DataFrame, subjects: DataFrame, labels: DataFrame, labelled_docs: int = LABELLED_DOCS, unlabelled_docs: int = UNLABELLED_DOCS, ngrams: int = NGRAMS) -> Model:

@@ -72,6 +72,20 @@ def test_edges(spark):
     assert S.subject_areas(odd, s, l.limit(0)).columns == ["doc_id", "subject"]
 
 
+def test_every_subject_has_its_own_threshold():
+    # Of 30 documents each, those of "b" score lower, and so do wrong sentences of "a"; "c" has no example.
+    names = ["a", "b", "c"]
+    model = S.Model(names, np.empty(0, np.int64), np.zeros((0, 3), np.float32), np.zeros(3, np.float32), np.zeros(3, np.float32))
+    score = np.full((90, 3), -9, np.float32)
+    score[:30, 0], score[30:60, 1], score[60:, 0] = 0.7, -0.95, -0.9
+    given = np.zeros((90, 3), bool)
+    given[:30, 0], given[30:60, 1] = True, True
+    S._calibrate(model, score, np.arange(90), given, np.ones(90, bool), 90)
+    found = S.shares(model.best(score), np.arange(90), 90, 3)
+    assert model.threshold[0] > model.threshold[1] == model.threshold[2]
+    assert (found[:30] == given[:30]).all() and not found[60:].any()
+
+
 def test_shares_and_stems():
     subject, doc = np.array([0, 0, 0, 1, -1, 1]), np.array([0, 0, 0, 0, 0, 1])
     assert S.shares(subject, doc, 3, 2).tolist() == [[True, True], [False, True], [False, False]]
