@@ -22,9 +22,9 @@ def exact(m, k):
     return {(min(i, j), max(i, j)) for i in range(len(m)) for j in sorted(range(len(m)), key=lambda j: (-round(float(cos[i, j]), 6), j))[:k] if j != i}
 
 
-@pytest.mark.parametrize("largest", [3000, 40])
+@pytest.mark.parametrize("largest", [100_000, 40])
 def test_recall(spark, monkeypatch, largest):
-    monkeypatch.setattr(N, "LARGEST_BUCKET", largest)  # the second way: buckets cut into grids
+    monkeypatch.setattr(N, "LARGEST_GROUP", largest)  # the second way: groups cut into grids
     m = clusters(1, 40, 25)
     got = {(r["i_a"], r["i_b"]) for r in N.neighbour_pairs(frame(spark, enumerate(m)), 5, dimensions=16).collect()}
     want = exact(m, 5)
@@ -44,7 +44,7 @@ def test_a_third_equal(spark):
 
 
 def test_ties_by_id(spark, monkeypatch):
-    monkeypatch.setattr(N, "LARGEST_BUCKET", 60)
+    monkeypatch.setattr(N, "LARGEST_GROUP", 60)
     rng = np.random.default_rng(6)
     middles = 3 * rng.normal(size=(20, 16))
     # Around each middle six equal vectors and three others of which they are the best.
@@ -88,6 +88,22 @@ def test_perturbations():
 def test_probes_are_adjacent():
     h = N.fit(clusters(5, 10, 20), 200)
     v = clusters(6, 5, 4)
-    found = h.buckets(v, 0, True)
+    found, _ = h.buckets(v, 0, True)
     assert found.shape == (20, 1 + N.PROBES) and all(len(set(r)) == 1 + N.PROBES for r in found.tolist())
-    assert (found[:, 0] == h.buckets(v, 0, False)[:, 0]).all()
+    assert (found[:, 0] == h.buckets(v, 0, False)[0][:, 0]).all()
+
+
+def test_many_nearly_equal():
+    rng = np.random.default_rng(8)
+    v = (rng.normal(size=(1, 16)) + 1e-8 * rng.normal(size=(700, 16))).astype("f4")
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    search = N.Search(np.arange(700)[::-1].copy(), v, 5)
+    members = np.arange(700)[::-1].copy()
+    search.compare(np.arange(700), members, both=True)
+    assert sum(len(r) for r, _, _ in search.pairs) <= 2 * 700 * 40
+    got = {i: list(j) for i, j in zip(*(search.result().column(c).to_pylist() for c in ("i", "j")))}
+    cos = np.round(v.astype(np.float64) @ v.astype(np.float64).T, 12)
+    for i in range(0, 700, 50):
+        row = 699 - i
+        want = sorted((j for j in range(700) if j != i), key=lambda j: (-cos[row, 699 - j], j))[:5]
+        assert got[i] == want
