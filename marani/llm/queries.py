@@ -45,6 +45,11 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return copies.repeats(_table(spark, folder, "sentences"))
 
 
+def p5_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """As p5_found, with so low a bound of heavy keys that there are some in small tables."""
+    return copies.repeats(_table(spark, folder, "sentences"), least_rows=12)
+
+
 def p5_copies(spark: SparkSession, folder: str) -> DataFrame:
     return copies.collapse(_table(spark, folder, "sentences"))
 
@@ -67,7 +72,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_sample": p1_sample, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p5_found": p5_found, "p5_copies": p5_copies, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p1_sample": p1_sample, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p5_found": p5_found, "p5_salted": p5_salted, "p5_copies": p5_copies, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_found": p7_found, "p8_found": p8_found}
 
 
 _WORDS_ONLY = "trim(regexp_replace(lower(upper({})), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g'))"
@@ -87,15 +92,23 @@ records AS (
   WHERE len(fields) >= 2 AND len(list_filter(fields, lambda x: NOT regexp_matches(x, '^[^:=–]*[\\p{{L}}\\p{{N}}][^:=–]*[:=–](.|\\n)*[\\p{{L}}\\p{{N}}]'))) = 0
   GROUP BY id
 ),
-keys AS (
-  SELECT t.id, CASE WHEN r.id IS NULL THEN {_WORDS_ONLY.format("t.text")}
-    ELSE ';' || array_to_string(list_sort(list_transform(r.fields, lambda x:
-      {_WORDS_ONLY.format("regexp_extract(x, '^[^:=–]*')")} || '=' || {_WORDS_ONLY.format("regexp_replace(x, '^[^:=–]*[:=–]', '')")})), ';') END AS form
+forms AS (
+  SELECT t.id, {_WORDS_ONLY.format("t.text")} AS w, CASE WHEN r.id IS NOT NULL THEN ';' || array_to_string(list_sort(list_transform(r.fields, lambda x:
+      {_WORDS_ONLY.format("regexp_extract(x, '^[^:=–]*')")} || '=' || {_WORDS_ONLY.format("regexp_replace(x, '^[^:=–]*[:=–]', '')")})), ';') END AS f
   FROM t LEFT JOIN records r ON t.id = r.id
-)
+),
+-- The same words or the same fields, over links of both kinds.
+k1 AS (SELECT *, coalesce(min(f) OVER (PARTITION BY w), w) AS k FROM forms),
+k2 AS (SELECT id, w, f, min(k) OVER (PARTITION BY coalesce(f, k)) AS k FROM k1),
+k3 AS (SELECT id, w, f, min(k) OVER (PARTITION BY w) AS k FROM k2),
+k4 AS (SELECT id, w, f, min(k) OVER (PARTITION BY coalesce(f, k)) AS k FROM k3),
+keys AS (SELECT id, min(k) OVER (PARTITION BY w) AS form FROM k4)
 """
 
 
+_REPEATS = _SENTENCE_KEYS + "SELECT * FROM (SELECT min(id) OVER (PARTITION BY form) AS first_id, id FROM keys) WHERE first_id < id"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p6_roundtrip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
@@ -104,6 +117,7 @@ def oracle_sql() -> dict[str, str]:
               SELECT *, row_number() OVER (PARTITION BY sid, pos ORDER BY piece NULLS FIRST, arrived_at NULLS FIRST, lemma NULLS FIRST, form NULLS FIRST) AS r FROM occurrences
             ) WHERE r = 1
             ORDER BY md5('{SAMPLE_SEED}|' || coalesce(sid::varchar, '?') || '|' || coalesce(pos::varchar, '?')), sid, pos LIMIT {SAMPLE_SIZE}""",
-        "p5_found": _SENTENCE_KEYS + "SELECT * FROM (SELECT min(id) OVER (PARTITION BY form) AS first_id, id FROM keys) WHERE first_id < id",
+        "p5_found": _REPEATS,
+        "p5_salted": _REPEATS,
         "p5_copies": _SENTENCE_KEYS + "SELECT min(id) AS first_id, count(*) AS copies FROM keys GROUP BY form",
     }

@@ -21,19 +21,32 @@ OTHER = [("მზე ანათებს", "ანათებს მზე"),
 
 def forms(spark, pairs):
     df = spark.createDataFrame(pairs, "a string, b string")
-    return df.select(copies.canonical(F.col("a")).alias("a"), copies.canonical(F.col("b")).alias("b")).collect()
+    return df.select(*(f(F.col(c)).alias(c + n) for c in "ab" for n, f in (("w", copies.words_only), ("f", copies.fields_of)))).collect()
 
 
-def test_canonical(spark):
-    assert all(r["a"] == r["b"] is not None for r in forms(spark, SAME))
-    assert all(r["a"] != r["b"] for r in forms(spark, OTHER))
-    assert all(r["a"] is None for r in forms(spark, [(None, ""), ("", ""), (" .,!…", ""), ("«»", "")]))
+def test_forms(spark):
+    same = lambda r: r["aw"] == r["bw"] or (r["af"] is not None and r["af"] == r["bf"])
+    assert all(map(same, forms(spark, SAME)))
+    assert not any(map(same, forms(spark, OTHER)))
+    none = spark.createDataFrame([(1, None), (2, ""), (3, " .,!…"), (4, "«»")], "id long, text string")
+    assert copies.keyed(none).count() == 0
+
+
+def test_one_wording_as_record_and_prose(spark):
+    # Rows 1 and 2 have the same words, 2 and 3 the same fields, 3, 4 and 5 the same words.
+    texts = ["a b c d", "a: b, c: d", "c: d; a: b", "c d a b", "c d: a; b", "a b d c"]
+    rows = [(n + 1, t) for n, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    assert {tuple(r) for r in copies.repeats(df).collect()} == {(1, 2), (1, 3), (1, 4), (1, 5)}
+    linked = [(1, "a b: c, d: e"), (2, "a: b c, d: e"), (3, "d: e; a b: c"), (4, "d: e; a: b c"), (5, "d e a b c"), (6, "a: c b, d: e")]
+    df = spark.createDataFrame(linked, "id long, text string")
+    assert {tuple(r) for r in copies.repeats(df).collect()} == {(1, 2), (1, 3), (1, 4), (1, 5)}
+    assert {tuple(r) for r in copies.collapse(df).collect()} == {(1, 5), (6, 1)}
 
 
 @pytest.mark.parametrize("least", [10_000, 40])
 def test_groups(spark, monkeypatch, least):
-    monkeypatch.setattr(copies, "LEAST_ROWS", least)
-    monkeypatch.setattr(copies.heavy_keys, "__defaults__", (1 / 50, least))  # the second time with heavy keys
+    monkeypatch.setattr(copies, "ROWS_OF_A_KEY", least)  # the second time with heavy keys
     r = random.Random(3)
     texts = [f"სიტყვა {r.choice([1] * 20 + list(range(60)))}" for _ in range(900)] + [None, "", "?!"]
     rows = [(n, r.choice([t, t and t.upper(), t and f" {t}!"])) for n, t in enumerate(texts)]
@@ -57,9 +70,9 @@ def test_heavy_keys_are_exact(spark):
     rows = [(n, int(r.paretovariate(0.6)) % 5000, 0) for n in range(20_000)]
     df = spark.createDataFrame(rows, "id long, h1 long, h2 long").repartition(8)
     count = collections.Counter(k for _, k, _ in rows)
-    for part in (1 / 20, 1 / 200, 1 / 1000):
-        found = copies.heavy_keys(df, part, 5)
-        assert {(x["h1"], x["count"]) for x in found.collect()} == {(k, n) for k, n in count.items() if n >= max(5, int(20_000 * part))}
+    for least in (1000, 100, 20):
+        found = copies.heavy_keys(df, least)
+        assert {(x["h1"], x["count"]) for x in found.collect()} == {(k, n) for k, n in count.items() if n >= least}
 
 
 def test_edges(spark):
