@@ -27,11 +27,15 @@ from .words import CLASSES, drop_ignorable
 
 CHANGE, BACKOFF = 12.0, 5.0  # cost of a change of script inside a run, in nats; weight of the letters' own chances
 # The scripts that have look-alikes in one another, by the words that their letters' names begin with.
-SCRIPTS = ("LATIN", "GEORGIAN", "CYRILLIC", "GREEK", "ARMENIAN")
+SCRIPTS = ("LATIN", "GEORGIAN", "CYRILLIC", "GREEK", "ARMENIAN", "COPTIC", "CHEROKEE", "LISU")
 _class_of = {letter: c for c in CLASSES for letter in c}
 _run = re.compile(r"(?:[^\W\d_][̀-ͯ]*)+")
 _plain_marks = re.compile("[̀-ͯ]")
 MEMO_LIMIT, ROWS_PER_BATCH, PAIRS_AT_ONCE = 300_000, 2000, 5_000
+#: Rows of one look that one task takes; looks with more, or with 1 / MOST_HOT of all rows, are joined apart, so there are at most MOST_HOT.
+ROWS_OF_A_LOOK, MOST_HOT = 100_000, 1_000_000
+
+
 @lru_cache(65536)
 def script(letter: str) -> str:
     word = unicodedata.name(letter, "?").split(" ", 1)[0]
@@ -153,17 +157,40 @@ def forms(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "f
     return chosen.mapInArrow(run, schema)
 
 
-def look_alike_pairs(texts: DataFrame) -> DataFrame:
-    """``field``, ``key_a``, ``key_b`` of the rows of ``texts`` (field, key, text) that look the same in one field and differ in characters.
+def _of_several(texts: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The rows whose look is written in several ways, with ``n`` (rows of that look) and ``first`` (its least key), and the columns of a look.
 
-    key_a < key_b; each pair comes once for each pair of rows. Null keys, null texts and texts without a letter or digit have no
-    pairs. The result has all such pairs, so a look that many rows share in many writings has many; such looks are spread by salt."""
+    Looks are counted before the shuffle, and rows of a hot look meet it by a
+    broadcast of the few hot looks, so no task gets a hot look whole."""
     form = forms(texts.where("key is not null"), learn(texts), "text", "form", ["field", "key"]).where(F.col("form").rlike(r"[\p{L}\p{N}]"))
     rows = settle(form.select("field", "key", "text", F.xxhash64("form").alias("h1"), F.xxhash64("form", F.lit(2)).alias("h2")), "forms")
     look = ["field", "h1", "h2"]
-    several = rows.groupBy(*look).agg(F.count(F.lit(1)).alias("n"), F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high")
-    salts = F.ceil(F.col("n") / PAIRS_AT_ONCE).cast("int")
-    of_look = rows.join(several.select(*look, salts.alias("salts")), look)
+    each = [F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.min("text").alias("low"), F.max("text").alias("high")]
+    several = settle(rows.groupBy(*look).agg(*each).where("low <> high").drop("low", "high"), "looks")
+    hot = several.where(F.col("n") > max(ROWS_OF_A_LOOK, rows.count() // MOST_HOT))
+    if hot.isEmpty():
+        return rows.join(several, look), look
+    light = rows.join(F.broadcast(hot.select(*look)), look, "left_anti").join(several, look)
+    return light.unionByName(rows.join(F.broadcast(hot), look)), look
+
+
+def look_alike_classes(texts: DataFrame) -> DataFrame:
+    """``field``, ``key``, ``first_key``, ``members``: each row whose look stands in several writings, with the least key and the
+    number of rows of that look. All pairs of rows that look the same follow from it, without being put out one by one.
+
+    Null keys, null texts and texts without a letter or digit have no look. Repeated rows count each."""
+    rows, _ = _of_several(texts)
+    return rows.select("field", "key", F.col("first").alias("first_key"), F.col("n").alias("members"))
+
+
+def look_alike_pairs(texts: DataFrame) -> DataFrame:
+    """``field``, ``key_a``, ``key_b`` of the rows of ``texts`` (field, key, text) that look the same in one field and differ in characters.
+
+    key_a < key_b; each pair comes once for each pair of rows. Null keys, null texts and texts without a letter or digit have no
+    pairs. The result has all such pairs, so a look that many rows share in many writings has many; such looks are spread by
+    salt. ``look_alike_classes`` tells the same in a row for each row."""
+    rows, look = _of_several(texts)
+    of_look = rows.withColumn("salts", F.ceil(F.col("n") / PAIRS_AT_ONCE).cast("int"))
     left = of_look.select(*look, F.col("key").alias("key_a"), F.col("text").alias("text_a"), F.pmod(F.xxhash64("key"), F.col("salts")).cast("int").alias("salt"))
     right = of_look.select(*look, F.col("key").alias("key_b"), F.col("text").alias("text_b"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     return left.join(right, [*look, "salt"]).where("key_a < key_b AND text_a <> text_b").select("field", "key_a", "key_b")

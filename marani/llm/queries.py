@@ -37,6 +37,10 @@ def p2_forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.forms(texts, lookalike.learn(texts), "text", "form", ["field", "key"])
 
 
+def p2_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.look_alike_classes(_looks(spark, folder))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.neighbour_pairs(_table(spark, folder, "layout"))
 
@@ -72,7 +76,7 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_sample": p1_sample, "p2_found": p2_found, "p2_forms": p2_forms, "p4_found": p4_found, "p5_found": p5_found, "p5_salted": p5_salted, "p5_copies": p5_copies, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p1_sample": p1_sample, "p2_found": p2_found, "p2_forms": p2_forms, "p2_classes": p2_classes, "p4_found": p4_found, "p5_found": p5_found, "p5_salted": p5_salted, "p5_copies": p5_copies, "p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_found": p7_found, "p8_found": p8_found}
 
 
 _WORDS_ONLY = "trim(regexp_replace(lower(upper({})), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g'))"

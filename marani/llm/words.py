@@ -11,17 +11,18 @@ import xxhash
 # Letters that look the same in different scripts, a class on each line, Latin first where it has the letter.
 LOOK_ALIKES = """
 a а α ɑ
-c с
+b Ꮟ
+c с ⲥ
 d ԁ
 e е
 g ɡ
 h һ հ
-i і ι
+i і ι Ꭵ
 j ј ϳ
 l ӏ
 n ո
-o о ο օ ჿ
-p р ρ
+o о ο օ ჿ ⲟ
+p р ρ ⲣ
 q ԛ զ
 s ѕ
 u υ ս
@@ -30,23 +31,31 @@ w ԝ ѡ
 x х
 y у ү γ ყ
 k κ к
-A А Α
-B В Β
-C С
-E Е Ε
-H Н Η
-I І Ι Ӏ
-J Ј
-K К Κ
-M М Μ
-N Ν
-O О Ο Օ
-P Р Ρ
-S Ѕ Տ
-T Т Τ
-X Х Χ
-Y Ү Υ
-Z Ζ
+A А Α Ꭺ ꓮ
+B В Β Ᏼ ꓐ Ⲃ
+C С Ꮯ ꓚ Ⲥ
+D Ꭰ ꓓ
+E Е Ε Ꭼ ꓰ
+F ꓝ
+G Ꮐ ꓖ
+H Н Η Ꮋ ꓧ Ⲏ
+I І Ι Ӏ ꓲ Ⲓ
+J Ј Ꭻ ꓙ
+K К Κ Ꮶ ꓗ Ⲕ
+L Ꮮ ꓡ
+M М Μ Ꮇ ꓟ Ⲙ
+N Ν ꓠ Ⲛ
+O О Ο Օ ꓳ Ⲟ
+P Р Ρ Ꮲ ꓑ Ⲣ
+R Ꭱ ꓣ
+S Ѕ Տ Ꮪ ꓢ
+T Т Τ Ꭲ ꓔ Ⲧ
+U ꓴ
+V Ꮩ ꓦ
+W Ꮃ ꓪ
+X Х Χ ꓫ Ⲭ
+Y Ү Υ Ꮍ ꓬ
+Z Ζ Ꮓ ꓜ
 - ‐
 """.split("\n")
 CLASSES = [c for line in LOOK_ALIKES if (c := line.split())]

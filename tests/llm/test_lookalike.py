@@ -5,7 +5,7 @@ import random
 import pytest
 
 from marani.llm import lookalike as L
-from marani.llm.words import CLASSES
+from marani.llm.words import CLASSES, one_form
 
 MODEL = L.Model(dict(__import__("collections").Counter(b for t in ["ყველა ყოველი მთავარი ყურძენი დიდი", "yellow seaside export copy jolly window hybrid parks cafe quad vivid voice"] for b in L.bigrams(t))))
 
@@ -46,6 +46,11 @@ def test_form_depends_on_look_only():
         assert len(seen) == 1
 
 
+@pytest.mark.parametrize(("a", "b"), [("ꓐook", "Book"), ("Ꭺpple", "Apple"), ("ⲟne", "one")])
+def test_further_scripts(a, b):
+    assert look(a) == look(b) and one_form(a) == one_form(b)
+
+
 def best_by_all_paths(run):
     import itertools
 
@@ -78,6 +83,13 @@ def test_pairs(spark, monkeypatch):
     got = [tuple(r) for r in L.look_alike_pairs(df).collect()]
     hot = {("keywords_ka", a, b) for a in range(100, 140) for b in range(a + 1, 140) if a % 3 != b % 3 and (a - 100) % 3 != (b - 100) % 3}
     assert set(got) == {("word", 0, 1), ("word", 1, 2), ("word", 8, 9)} | hot
+    monkeypatch.setattr(L, "ROWS_OF_A_LOOK", 5)  # hot looks are joined apart
+    assert sorted(map(tuple, L.look_alike_pairs(df).collect())) == sorted(got)
+    classes = [tuple(r) for r in L.look_alike_classes(df).collect()]
+    want = [("word", k, 0, 4) for k in (0, 0, 1, 2)] + [("word", 8, 8, 2), ("word", 9, 8, 2)] + [("keywords_ka", k, 100, 40) for k in range(100, 140)]
+    assert sorted(classes) == sorted(want)
+    monkeypatch.setattr(L, "ROWS_OF_A_LOOK", 100_000)
+    assert sorted(tuple(r) for r in L.look_alike_classes(df).collect()) == sorted(want)
     assert L.look_alike_pairs(df.limit(0)).count() == 0
     long = spark.createDataFrame([(1, "ყ" * 100_000), (2, None), (3, "")], "k int, text string")
     assert [r["form"] for r in L.forms(long, MODEL, keep=["k"]).orderBy("k").collect()] == ["ყ" * 100_000, None, ""]
