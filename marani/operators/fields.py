@@ -2,16 +2,18 @@
 
 Every field is parsed under each dialect that it may be written in: a set of separators, quotes that protect or not, numbers
 that keep the sign inside them or not. A dialect is worth the bits in which the field can be told: its own, and those of each
-value, which is told by how often it occurs in all fields (its code length, from counts that are made by a distributed
-aggregation) or else letter by letter. Separators and quotes that a dialect leaves inside a value are dear. Each field is
-parsed by its cheapest dialect.
+value, which is told by how often it occurs in the other fields (its code length, from counts that are made by a distributed
+aggregation) or else letter by letter. Values are counted as all separators and quotes of a field have it; so a value that holds
+a separator counts where it is quoted. A separator or quote that nothing protects is told inside a value by letters at the
+price of how seldom that is in all fields, and at none where the value is known as a whole. Each field is parsed by its cheapest dialect.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import product
 
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..runtime import settle
 
@@ -26,8 +29,10 @@ from ..runtime import settle
 SEPARATORS = ["|｜", ";；;", ",，", "/／", "、､", "·・", "\t", "\n\r"]
 QUOTES = ['""', "＂＂", "„“", "„”", "“”", "«»", "‹›"]
 SIGNS = ",，/／"
-#: Bits: of a letter, of a value that is told by letters, of a separator or quote inside a value, of each choice in a dialect.
-LETTER, NEW_VALUE, INSIDE, CHOICE = 5.0, 12.0, 60.0, 2.0
+#: Bits: of a letter, of a value that is told by letters, of each choice in a dialect.
+LETTER, NEW_VALUE, CHOICE = 5.0, 12.0, 2.0
+#: Separators that are taken to have separated before any is seen, so that few fields don't make it doubtful.
+BEFOREHAND = 1 << 16
 #: Bits that a value takes at least, if other fields hold hardly anything else.
 LEAST_CODE = 1.0
 _all = "".join(SEPARATORS)
@@ -66,11 +71,10 @@ def parse(field: str, separators: str = _all, quotes: bool = True, numbers: int
     return out
 
 
-def _letters(value: str, quoted: bool) -> tuple[float, float]:
-    """Bits of a value told by letters, and the bits that what it has inside costs however it is told."""
-    rest = value if quoted else _number.sub("0", value)
-    inside = 0 if quoted else sum(c in _all for c in rest) + sum(c in _quote_marks for c in rest)
-    return NEW_VALUE + LETTER * len(value), INSIDE * inside
+def _letters(value: str, quoted: bool, price: dict[str, float]) -> float:
+    """Bits of a value told by letters; ``price`` has those of separators and quotes that nothing protects."""
+    rest = "" if quoted else _number.sub("0", value)
+    return NEW_VALUE + LETTER * len(value) + sum(price[c] - LETTER for c in rest if c in price)
 
 
 def dialects(field: str) -> list[tuple[str, bool, int]]:
@@ -86,20 +90,55 @@ def dialects(field: str) -> list[tuple[str, bool, int]]:
     return list(dict.fromkeys(product(sets, quotes, numbers)))
 
 
-def _candidates(field: str) -> list[tuple[float, list[str], list[float], list[float]]]:
-    """Each differing parse: the dialect's bits, its values, and for each value its bits by letters and for what it has inside."""
-    seen, out = set(), []
+def _candidates(field: str, price: dict[str, float]) -> list[tuple[float, list[str], list[float], list[int]]]:
+    """Each differing parse: the dialect's bits, its values, and for each value its bits by letters and how often it counts itself."""
+    seen, out, own = set(), [], Counter()
     for n, (separators, quotes, numbers) in enumerate(dialects(field)):
         found = parse(field, separators, quotes, numbers)
+        if not n:
+            own.update(v for v, _ in found)
         key = tuple(found)
         if key in seen:
             continue
         seen.add(key)
-        bits = [_letters(v, q) for v, q in found]
-        out.append((CHOICE * (1 + math.log2(1 + n)), [v for v, _ in found], [a for a, _ in bits], [b for _, b in bits]))
+        out.append((CHOICE * (1 + math.log2(1 + n)), [v for v, _ in found], [_letters(v, q, price) for v, q in found], [own[v] for v, _ in found]))
     # A parse is left out only if another costs less even if all its values are new, and all of this one's are known as well as can be.
-    best = min(base + sum(a) + sum(c) for base, _, a, c in out)
-    return [c for c in out if c[0] + LEAST_CODE * len(c[1]) + sum(c[3]) <= best]
+    best = min(base + sum(letters) for base, _, letters, _ in out)
+    return [c for c in out if c[0] + LEAST_CODE * len(c[1]) <= best]
+
+
+def _by_batch(make: Callable[[list[str]], list[tuple]], schema: T.StructType, keep: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """An Arrow function that makes rows of each field (the last column), after the first ``keep`` columns of its row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [to_arrow_type(f.dataType) for f in schema.fields[keep:]]
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_PER_BATCH):
+                b = whole.slice(at, ROWS_PER_BATCH)
+                place, rows = [], []
+                for n, field in enumerate(b.column(keep).to_pylist()):
+                    new = make(field)
+                    place += [n] * len(new)
+                    rows += new
+                take = pa.array(place, pa.int64())
+                made = zip(*rows) if rows else [()] * len(kinds)
+                yield pa.RecordBatch.from_arrays([*(b.column(n).take(take) for n in range(keep)), *(pa.array(list(x), k) for x, k in zip(made, kinds))], names=schema.names)
+
+    return run
+
+
+def value_counts(fields: DataFrame) -> tuple[DataFrame, int, dict[str, float]]:
+    """``value``, ``n`` over all fields (``field``), parsed by all their separators and quotes; their number; and the bits of each
+    separator and quote that nothing protects inside a value: by the rule of succession over all that stand in fields beside
+    values, of which none is seen inside one, and BEFOREHAND more."""
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    each = fields.select("field").mapInArrow(_by_batch(lambda field: [(v,) for v, _ in parse(field)], schema, 0), schema)
+    counts = settle(each.groupBy("value").agg(F.count(F.lit(1)).alias("n")), "values")
+    kinds = [*SEPARATORS, _quote_marks]
+    number = lambda text, k, n: F.sum(n * F.length(F.regexp_replace(text, f"[^{re.escape(k)}]", "")))
+    total, *inside = (x or 0 for x in counts.agg(F.sum("n"), *(number("value", k, F.col("n")) for k in kinds)).first())
+    found = (x or 0 for x in fields.agg(*(number("field", k, F.lit(1)) for k in kinds)).first())
+    return counts, total, {c: math.log2(BEFOREHAND + max(0, n - m)) for k, n, m in zip(kinds, found, inside) for c in k}
 
 
 def unpack(df: DataFrame, id_col: str = "row_id", field_col: str = "keywords_ka", out_col: str = "keyword") -> DataFrame:
@@ -109,40 +148,21 @@ def unpack(df: DataFrame, id_col: str = "row_id", field_col: str = "keywords_ka"
     quote that is doubled inside stands for one. A written number with its sign inside is one value where that is cheaper.
     Repeated rows give repeated results, each field is parsed whole, and other columns aren't read."""
     chosen = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{field_col}`").cast("string").alias("field")).where("field is not null")
-    rows = chosen.withColumn("row", F.monotonically_increasing_id())
-    schema = T.StructType(
-        [
-            chosen.schema["id"],
-            *(T.StructField(n, k) for n, k in (("row", T.LongType()), ("dialect", T.IntegerType()), ("of", T.IntegerType()), ("base", T.DoubleType()), ("values", T.ArrayType(T.StringType())), ("letters", T.ArrayType(T.DoubleType())), ("inside", T.ArrayType(T.DoubleType())))),
-        ]
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS_PER_BATCH):
-                b = whole.slice(at, ROWS_PER_BATCH)
-                place, dialect, of, parts = [], [], [], []
-                for n, field in enumerate(b.column(1).to_pylist()):
-                    found = _candidates(field)
-                    if any(v for _, v, _, _ in found):
-                        place += [n] * len(found)
-                        dialect += range(len(found))
-                        of += [len(found)] * len(found)
-                        parts += found
-                base, values, letters, inside = zip(*parts) if parts else ([], [], [], [])
-                take = pa.array(place, pa.int64())
-                columns = [b.column(0).take(take), b.column(2).take(take), pa.array(dialect, pa.int32()), pa.array(of, pa.int32()), pa.array(base, pa.float64()), pa.array(values, pa.list_(pa.string())), pa.array(letters, pa.list_(pa.float64())), pa.array(inside, pa.list_(pa.float64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    parses = settle(rows.select("id", "field", "row").mapInArrow(run, schema), "parses")
-    counts = parses.select(F.explode("values").alias("value"), (1 / F.col("of")).alias("n")).groupBy("value").agg(F.sum("n").alias("n"))
-    counts = settle(counts, "values")
-    total = counts.agg(F.sum("n")).first()[0] or 1.0
-    several = parses.where("of > 1").select("id", "row", "dialect", "of", "base", F.posexplode_outer(F.arrays_zip("values", "letters", "inside")).alias("pos", "x"))
-    each = several.select("id", "row", "dialect", "of", "base", "pos", F.col("x.values").alias("value"), F.col("x.letters").alias("letters"), F.col("x.inside").alias("inside"))
-    others = F.col("n") - 1 / F.col("of")  # the field itself doesn't vouch for its own values
-    code = F.when(others > 1e-9, F.least("letters", F.log2(F.lit(total) / others) + 1)).otherwise(F.col("letters"))
-    bits = F.coalesce(code + F.col("inside"), F.lit(0.0))
+    counts, total, price = value_counts(chosen)
+    rows = chosen.withColumn("row", F.monotonically_increasing_id()).select("id", "row", "field")
+    more = (("dialect", T.IntegerType()), ("of", T.IntegerType()), ("base", T.DoubleType()), ("values", T.ArrayType(T.StringType())), ("letters", T.ArrayType(T.DoubleType())), ("own", T.ArrayType(T.IntegerType())))
+    schema = T.StructType([chosen.schema["id"], T.StructField("row", T.LongType()), *(T.StructField(n, k) for n, k in more)])
+
+    def parses_of(field: str) -> list[tuple]:
+        found = _candidates(field, price)
+        return [(n, len(found), *x) for n, x in enumerate(found)] if any(v for _, v, _, _ in found) else []
+
+    parses = settle(rows.mapInArrow(_by_batch(parses_of, schema, 2), schema), "parses")
+    several = parses.where("of > 1").select("id", "row", "dialect", "base", F.posexplode_outer(F.arrays_zip("values", "letters", "own")).alias("pos", "x"))
+    each = several.select("id", "row", "dialect", "base", "pos", F.col("x.values").alias("value"), F.col("x.letters").alias("letters"), F.col("x.own").alias("own"))
+    others = F.col("n") - F.col("own")  # the field itself doesn't vouch for its own values
+    code = F.when(others > 0, F.least("letters", F.log2(F.lit(float(total)) / others) + 1)).otherwise(F.col("letters"))
+    bits = F.coalesce(code, F.lit(0.0))
     scored = (
         each.join(counts, "value", "left")
         .groupBy("row", "dialect")

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
 import pytest
 
@@ -91,6 +93,49 @@ def test_known_values_stay_whole(spark):
     assert got[100] == names
 
 
+def test_quoted_copies_keep_a_value_whole(spark):
+    field = "aaaaaaaaaa, bbbbbbbbbb, cccccccccc"
+    got, _ = unpacked(spark, [(n, f'"{field}"') for n in range(200)] + [(300, field), (301, field.replace("b", "d"))])
+    assert got[300] == [field] and got[301] == ["aaaaaaaaaa", "dddddddddd", "cccccccccc"]
+
+
+def cheapest(rows):
+    """The values of each field by all its dialects, with the bits of every one worked out plainly."""
+    first = {n: [v for v, _ in fields.parse(f)] for n, f in rows}
+    counts = Counter(v for values in first.values() for v in values)
+    total = sum(counts.values())
+    price = {}
+    for kind in [*fields.SEPARATORS, fields._quote_marks]:
+        outside = sum(f.count(c) for _, f in rows for c in kind) - sum(v.count(c) for values in first.values() for v in values for c in kind)
+        price |= dict.fromkeys(kind, math.log2(fields.BEFOREHAND + outside))
+    out = {}
+    for n, f in rows:
+        best = None
+        for place, dialect in enumerate(fields.dialects(f)):
+            values = fields.parse(f, *dialect)
+            bits = fields.CHOICE * (1 + math.log2(1 + place))
+            for v, quoted in values:
+                free = "" if quoted else fields._number.sub("0", v)
+                letters = fields.NEW_VALUE + fields.LETTER * (len(v) - sum(c in price for c in free)) + sum(price.get(c, 0) for c in free)
+                known = counts[v] - first[n].count(v)
+                bits += round(min(letters, math.log2(total / known) + 1) if known else letters, 6)
+            if best is None or bits < best[0] - 1e-9:
+                best = bits, [v for v, _ in values]
+        out[n] = best[1]
+    return out
+
+
+def test_against_all_dialects(spark):
+    rng = random.Random(12)
+    words = ["ab", "cd efgh", "ij-kl", "12", "3,5", "mnopqrstuv, wxyz", "x/y"]
+    rows = []
+    for n in range(300):
+        sep = rng.choice(["|", "; ", ", ", "/"])
+        rows.append((n, sep.join(rng.choice([w, w, f'"{w}"', f"„{w}“"]) for w in rng.choices(words, k=rng.randint(1, 5)))))
+    got, _ = unpacked(spark, rows)
+    assert got == cheapest(rows)
+
+
 def test_edges(spark):
     long = "|".join(f"სიტყვა{n}" for n in range(20_000))
     rows = [(1, None), (2, ""), (3, " ;,"), (4, "ა|ბ"), (4, "ა|ბ"), (None, "გ"), (5, long)]
