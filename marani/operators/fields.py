@@ -14,16 +14,19 @@ import math
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import product
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..runtime import settle
+from .membership import Filter, filter_of
 
 # Separators, with the full-width forms of each, and pairs of quotes.
 SEPARATORS = ["|｜", ";；;", ",，", "/／", "、､", "·・", "\t", "\n\r"]
@@ -33,8 +36,6 @@ SIGNS = ",，/／"
 LETTER, NEW_VALUE, CHOICE = 5.0, 12.0, 2.0
 #: Separators that are taken to have separated before any is seen, so that few fields don't make it doubtful.
 BEFOREHAND = 1 << 16
-#: Bits that a value takes at least, if other fields hold hardly anything else.
-LEAST_CODE = 1.0
 _all = "".join(SEPARATORS)
 _quote_marks = "".join(sorted({c for q in QUOTES for c in q}))
 _quoted = "|".join(f"{re.escape(a)}(?:[^{re.escape(b)}]|{re.escape(b * 2)})*{re.escape(b)}" for a, b in QUOTES)
@@ -90,9 +91,25 @@ def dialects(field: str) -> list[tuple[str, bool, int]]:
     return list(dict.fromkeys(product(sets, quotes, numbers)))
 
 
-def _candidates(field: str, price: dict[str, float]) -> list[tuple[float, list[str], list[float], list[int]]]:
+@dataclass
+class Costs:
+    """What bounds the bits of values before they are looked up: the price of each separator and quote that nothing protects,
+    the bits of the most frequent value, and a filter of the known values that hold such a character."""
+
+    price: dict[str, float]
+    least: float
+    known: Filter
+
+    def least_of(self, value: str, letters: float, quoted: bool) -> float:
+        """No more than the value's bits. A value that holds a free separator and isn't known is told by letters."""
+        if not quoted and any(c in self.price for c in value) and not self.known.may_hold_one(xxhash.xxh64_intdigest(value.encode("utf-8", "surrogatepass"), 42)):
+            return letters
+        return min(letters, self.least)
+
+
+def _candidates(field: str, costs: Costs) -> list[tuple[float, list[str], list[float], list[int]]]:
     """Each differing parse: the dialect's bits, its values, and for each value its bits by letters and how often it counts itself."""
-    seen, out, own = set(), [], Counter()
+    seen, out, least, own = set(), [], [], Counter()
     for n, (separators, quotes, numbers) in enumerate(dialects(field)):
         found = parse(field, separators, quotes, numbers)
         if not n:
@@ -101,10 +118,12 @@ def _candidates(field: str, price: dict[str, float]) -> list[tuple[float, list[s
         if key in seen:
             continue
         seen.add(key)
-        out.append((CHOICE * (1 + math.log2(1 + n)), [v for v, _ in found], [_letters(v, q, price) for v, q in found], [own[v] for v, _ in found]))
-    # A parse is left out only if another costs less even if all its values are new, and all of this one's are known as well as can be.
+        base, letters = CHOICE * (1 + math.log2(1 + n)), [_letters(v, q, costs.price) for v, q in found]
+        out.append((base, [v for v, _ in found], letters, [own[v] for v, _ in found]))
+        least.append(base + sum(costs.least_of(v, x, q) for (v, q), x in zip(found, letters)))
+    # A parse is left out only if another costs less even if all its values are new, and this one's are known as well as can be.
     best = min(base + sum(letters) for base, _, letters, _ in out)
-    return [c for c in out if c[0] + LEAST_CODE * len(c[1]) <= best]
+    return [c for c, x in zip(out, least) if x <= best + 1e-3]
 
 
 def _by_batch(make: Callable[[list[str]], list[tuple]], schema: T.StructType, keep: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -127,18 +146,22 @@ def _by_batch(make: Callable[[list[str]], list[tuple]], schema: T.StructType, ke
     return run
 
 
-def value_counts(fields: DataFrame) -> tuple[DataFrame, int, dict[str, float]]:
-    """``value``, ``n`` over all fields (``field``), parsed by all their separators and quotes; their number; and the bits of each
-    separator and quote that nothing protects inside a value: by the rule of succession over all that stand in fields beside
-    values, of which none is seen inside one, and BEFOREHAND more."""
+def value_counts(fields: DataFrame) -> tuple[DataFrame, int, Costs]:
+    """``value``, ``n`` over all fields (``field``), parsed by all their separators and quotes; their number; and what values cost.
+
+    A separator or quote that nothing protects is told inside a value by the rule of succession over all that stand in fields
+    beside values, of which none is seen inside one, and BEFOREHAND more."""
     schema = T.StructType([T.StructField("value", T.StringType())])
     each = fields.select("field").mapInArrow(_by_batch(lambda field: [(v,) for v, _ in parse(field)], schema, 0), schema)
     counts = settle(each.groupBy("value").agg(F.count(F.lit(1)).alias("n")), "values")
     kinds = [*SEPARATORS, _quote_marks]
     number = lambda text, k, n: F.sum(n * F.length(F.regexp_replace(text, f"[^{re.escape(k)}]", "")))
-    total, *inside = (x or 0 for x in counts.agg(F.sum("n"), *(number("value", k, F.col("n")) for k in kinds)).first())
+    special = F.col("value").rlike(f"[{re.escape(''.join(kinds))}]")
+    total, most, holding, *inside = (x or 0 for x in counts.agg(F.sum("n"), F.max("n"), F.count_if(special), *(number("value", k, F.col("n")) for k in kinds)).first())
     found = (x or 0 for x in fields.agg(*(number("field", k, F.lit(1)) for k in kinds)).first())
-    return counts, total, {c: math.log2(BEFOREHAND + max(0, n - m)) for k, n, m in zip(kinds, found, inside) for c in k}
+    price = {c: math.log2(BEFOREHAND + max(0, n - m)) for k, n, m in zip(kinds, found, inside) for c in k}
+    known = filter_of(counts.where(special).select(F.xxhash64("value")), holding)
+    return counts, total, Costs(price, math.log2(total / most) + 1 if most else 0.0, known)
 
 
 def unpack(df: DataFrame, id_col: str = "row_id", field_col: str = "keywords_ka", out_col: str = "keyword") -> DataFrame:
@@ -148,13 +171,14 @@ def unpack(df: DataFrame, id_col: str = "row_id", field_col: str = "keywords_ka"
     quote that is doubled inside stands for one. A written number with its sign inside is one value where that is cheaper.
     Repeated rows give repeated results, each field is parsed whole, and other columns aren't read."""
     chosen = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{field_col}`").cast("string").alias("field")).where("field is not null")
-    counts, total, price = value_counts(chosen)
+    counts, total, costs = value_counts(chosen)
+    sent = df.sparkSession.sparkContext.broadcast(costs)
     rows = chosen.withColumn("row", F.monotonically_increasing_id()).select("id", "row", "field")
     more = (("dialect", T.IntegerType()), ("of", T.IntegerType()), ("base", T.DoubleType()), ("values", T.ArrayType(T.StringType())), ("letters", T.ArrayType(T.DoubleType())), ("own", T.ArrayType(T.IntegerType())))
     schema = T.StructType([chosen.schema["id"], T.StructField("row", T.LongType()), *(T.StructField(n, k) for n, k in more)])
 
     def parses_of(field: str) -> list[tuple]:
-        found = _candidates(field, price)
+        found = _candidates(field, sent.value)
         return [(n, len(found), *x) for n, x in enumerate(found)] if any(v for _, v, _, _ in found) else []
 
     parses = settle(rows.mapInArrow(_by_batch(parses_of, schema, 2), schema), "parses")
