@@ -74,6 +74,10 @@ _tags = re.compile(
     r"<[^<>\n]{1,80}>|<!--[^<>]*-->|<[A-Za-z][A-Za-z0-9+.-]*:[^\s<>]*>|</[A-Za-z][^\s<>]*\s*>"
     rf"|<[A-Za-z][^\s<>=/]*+(?:{_bare}{_attribute})++{_bare}[\s/]*+>"
 )
+# What a link leads to, beside the words that it shows: after a label, before one, or the page of a piped link.
+_targets = re.compile(r"""(?<=\])\((?:<[^<>\n]*>|[^\s()<>]*(?:\([^\s()<>]*\)[^\s()<>]*)*)(?:\s+(?:"[^"\n]*"|'[^'\n]*'))?\s*\)|(?<=\[)(?:https?|ftp)://[^\s\[\]]*|(?<=\[\[)[^\[\]|\n]*\|(?=[^\[\]|\n]*\]\])""")
+# A template without parameters shows no words of its own here.
+_templates = re.compile(r"\{\{[^{}|\n]*\}\}")
 WORDS = re.compile(r"[^\W_]+")
 
 
@@ -82,9 +86,12 @@ def drop_ignorable(text: str) -> str:
 
 
 def plain(text: str) -> str:
-    """Text without tags, hyphens at line ends, characters that show nothing, and accents that no composed letter holds.
+    """Text without tags, targets of links, templates without parameters, hyphens at line ends, characters that show nothing,
+    and accents that no composed letter holds.
 
     Other markup is punctuation."""
+    if "[" in text or "{{" in text:
+        text = _templates.sub(" ", _targets.sub(" ", text))
     if "<" in text:
         text = _tags.sub(" ", text)
     text = drop_ignorable(text)

@@ -104,8 +104,10 @@ def test_table(spark, monkeypatch):
     want = {(1, 0), (2, 1), (2, 60), (5, 3), (7, 1), (7, 60)}
     got = leaks.leaked(d, i).collect()
     assert sorted(map(tuple, got)) == sorted(want)
-    monkeypatch.setattr(leaks, "ITEM_WORDS_AT_ONCE", 60)  # several blocks of items
-    assert {tuple(x) for x in leaks.leaked(d, i).collect()} == want
+    monkeypatch.setattr(leaks, "ITEM_WORDS_AT_ONCE", 60)  # signatures are joined
+    assert sorted(map(tuple, leaks.leaked(d, i).collect())) == sorted(want)
+    monkeypatch.setattr(leaks, "ROWS_OF_A_SIGNATURE", 1)  # and salted
+    assert sorted(map(tuple, leaks.leaked(d, i).collect())) == sorted(want)
     assert leaks.leaked(d.limit(0), i).count() == 0 == leaks.leaked(d, i.limit(0)).count()
 
 
@@ -146,6 +148,21 @@ def test_long_tags(tag):
     assert WORDS.findall(plain(prosaic)) == WORDS.findall(prosaic)
 
 
+@pytest.mark.parametrize("items", [2, 3, 5])
+def test_questions_about_one_passage(spark, items):
+    r = random.Random(11)
+    fresh = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    passage = fresh(45)
+    rows = spark.createDataFrame([(n, " ".join(passage + fresh(9))) for n in range(items)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(fresh(20) + passage + fresh(10)))], "doc_id long, text string")
+    assert {tuple(x) for x in leaks.leaked(docs, rows).collect()} == {(1, n) for n in range(items)}
+
+
+@pytest.mark.parametrize(("markup", "shown"), [("[x](https://a.b/c/d/e/f)", "x"), ('[x](https://a.b/c_(d)/e "a title here")', "x"), ("[https://a.b/c/d x]", "x"), ("[[one two three|x]]", "x"), ("{{one two three}}", ""), ("f(x)[1](y z)", "f x 1 y z"), ("[[one two]]", "one two")])
+def test_links(markup, shown):
+    assert WORDS.findall(plain(f"a {markup} b")) == ["a", *shown.split(), "b"]
+
+
 @pytest.mark.parametrize(("a", "b"), [("ᲐᲑ", "აბ"), ("Ｆull", "full"), ("ѕеа", "sea"), ("ყველა", "yველა"), ("é", "é")])
 def test_one_form(a, b):
     assert one_form(a) == one_form(b)
