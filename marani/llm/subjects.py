@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import spread
+from ..runtime import settle, spread
 from .words import one_form, plain
 
 # The national romanisation without apostrophes (the letter qar, in the one form of look-alikes, is y).
@@ -35,6 +35,8 @@ ENDINGS = sorted("ebisa ebidan ebistvis ebtan ebis ebma ebit ebad ebze ebshi ebs
 SHARE = 0.25
 #: The bounds of the samples that the classifiers are fitted on, in documents, taken by a hash of their id.
 LABELLED_DOCS, UNLABELLED_DOCS = 12_000, 6_000
+#: The bound of both together in words (64 MB on the driver). Documents are taken whole, labelled ones first; one that doesn't fit any more isn't.
+SAMPLE_WORDS = 8_000_000
 NGRAMS, LEAST_DOCS, HELD_OUT = 1, 2, 5  # longest n-gram; documents that a feature needs; one labelled document in so many is held out
 SHRINKAGE = 20  # examples with which a subject's own threshold counts as much as the common one
 ROWS_PER_BATCH = 4000
@@ -265,7 +267,18 @@ def train(documents: DataFrame, subjects: DataFrame, labels: DataFrame, labelled
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pieces_of(t, memo).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["doc_id", "pieces"])
 
-    sample = near.select("doc_id", "text").mapInArrow(run, "doc_id bigint, pieces binary").toArrow()
+    made = near.select("doc_id", "text").mapInArrow(run, "doc_id bigint, pieces binary").withColumn("row", F.monotonically_increasing_id())
+    made = settle(made.withColumn("size", F.length("pieces") / 8), "sample")
+    # Sizes of at most the sampled documents; the documents themselves only as far as they fit.
+    sizes = sorted(made.select("row", "doc_id", "size").collect(), key=lambda r: (r["doc_id"] not in of_doc, xxhash.xxh3_64_intdigest(str(r["doc_id"])), r["row"]))
+    left, fit_in = SAMPLE_WORDS, []
+    for r in sizes:
+        if r["size"] <= left:
+            left -= r["size"]
+            fit_in.append(r["row"])
+    if len(fit_in) < len(sizes):
+        made = made.join(F.broadcast(spark.createDataFrame([(n,) for n in fit_in], "row bigint")), "row")
+    sample = made.select("doc_id", "pieces").toArrow()
     docs = sorted(zip(sample.column(0).to_pylist(), sample.column(1).to_pylist()), key=lambda x: (x[0] is None, x[0], x[1]))
     return fit([(np.frombuffer(p, np.int64), of_doc.get(d), xxhash.xxh3_64_intdigest(str(d)) % HELD_OUT == 0) for d, p in docs], names, terms, ngrams)
 

@@ -102,3 +102,19 @@ def test_ngrams(n):
     assert count == 4 and len(feature) == 6 + (3 if n > 1 else 0) + (1 if n > 2 else 0)
     assert sentence[:6].tolist() == [0, 0, 1, 1, 1, 3]
     assert S.rows_of(np.array([], np.int64), n)[2] == 0
+
+
+def test_sample_is_bounded_in_words(spark, monkeypatch):
+    docs, truth = corpus(3, 200)
+    s = spark.createDataFrame([(k, TOPICS[k], ENGLISH[k]) for k in TOPICS], "subject string, terms_ka array<string>, terms_en array<string>")
+    l = spark.createDataFrame([(d, x) for d in range(100) for x in truth[d]], "doc_id long, subject string")
+    d = spark.createDataFrame([*docs, (10_000, "ატომი " * 40_000)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(S, "fit", lambda docs, *_: seen.append(docs))
+    for most in (10**6, 600):
+        monkeypatch.setattr(S, "SAMPLE_WORDS", most)
+        S.train(d, s, l)
+    whole, few = seen
+    assert sum(len(p) for p, _, _ in whole) > 40_000 and 0 < sum(len(p) for p, _, _ in few) <= 600
+    assert {(p.tobytes(), tuple(x or ())) for p, x, _ in few} <= {(p.tobytes(), tuple(x or ())) for p, x, _ in whole}
+    assert all(x is not None for _, x, _ in few)  # labelled documents come first
