@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 import zipfile
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -47,21 +49,47 @@ def local_session(cpus: int | None = None, memory: str = "8g", **conf: str) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset and the master is local.
+
+    On a cluster a folder of the driver's machine would be lost to the executors, so there an unset one is an error."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="marani-"))
     return context.getCheckpointDir()
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables within the shared one. It is removed when the driver's process ends."""
+    context = spark.sparkContext
+    path = f"{shared_dir(spark)}/marani/{context.applicationId}"
+    known = getattr(context, "_marani_folders", None)
+    if known is None:
+        known = context._marani_folders = set()
+        atexit.register(clear, context)
+    known.add(path)
+    return path
+
+
+def clear(context: SparkContext) -> None:
+    """Remove the intermediate tables of an application: results that still read them can't be read any more."""
+    for path in sorted(getattr(context, "_marani_folders", ())):
+        try:
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration() if context._jsc else context._jvm.org.apache.hadoop.conf.Configuration()).delete(at, True)
+        except Exception:  # noqa: BLE001, S110 - the JVM may be gone already
+            pass
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write df once as a table in the shared folder and read it back, so that later jobs don't repeat its work.
 
-    The files survive the loss of any executor. They are left for the owner of the folder to clear."""
-    path = f"{shared_dir(df.sparkSession)}/marani/{label}-{uuid.uuid4().hex}"
+    The files survive the loss of any executor."""
+    path = f"{own_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.alphabet import GEORGIAN, Alphabet
-from ..runtime import shared_dir
+from ..runtime import own_dir
 
 
 def distinct_sentences(stream: DataFrame, time_col: str | None = None, lateness: str = "7 days", text_col: str = "text") -> DataFrame:
@@ -34,7 +34,7 @@ def windowed_counts(stream: DataFrame, time_col: str, key: str, width: str = "1
 def run_to_end(result: DataFrame, label: str) -> DataFrame:
     """Run a stream over all that has arrived, in batches, and read its last complete result, which each batch writes anew."""
     spark = result.sparkSession
-    base = f"{shared_dir(spark)}/marani/{label}-{uuid.uuid4().hex}"
+    base = f"{own_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out")
