@@ -5,7 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,20 +38,56 @@ def first_of(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return first.select(*(F.col(key) if c == key else F.col(f"__first.{c}").alias(c) for c in df.columns))
 
 
-def dense_ids(df: DataFrame, order: list[str], id_col: str = "id", label: str = "ordered") -> DataFrame:
-    """Number all rows from 0 in a total order, without bringing them into one task: rows are sorted by range, and each
-    partition starts at the number of rows before it. Only one number for each partition comes to the driver."""
-    ordered = settle(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()), label)
-    sizes = sorted((r["__part"], r["count"]) for r in ordered.groupBy("__part").count().collect())
+def _starts(ordered: DataFrame, sizes: list[tuple[int, int]]) -> DataFrame:
+    """``__part``, ``__begin``: the number of rows before each partition; a row for each, so it is small."""
     starts, total = [], 0
-    for part, size in sizes:
+    for part, size in sorted(sizes):
         starts.append((part, total))
         total += size
-    if not starts:
-        return df.withColumn(id_col, F.lit(0).cast("long"))
-    begin = F.broadcast(df.sparkSession.createDataFrame(starts, "__part int, __begin long"))
-    within = Window.partitionBy("__part").orderBy(*order)
-    return ordered.join(begin, "__part").withColumn(id_col, F.col("__begin") + F.row_number().over(within) - 1).drop("__part", "__begin")
+    return F.broadcast(ordered.sparkSession.createDataFrame(starts, "__part long, __begin long"))
+
+
+def dense_ids(df: DataFrame, order: list[str], id_col: str = "id", label: str = "ordered") -> DataFrame:
+    """Number all rows from 0 in a total order, without bringing them into one task: rows are sorted by range and numbered within
+    their partition as they are written, and each partition starts at the number of rows before it. One number for each
+    partition comes to the driver, and nothing is shuffled again."""
+    ordered = settle(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), label)
+    placed = ordered.withColumn("__part", F.shiftright("__at", 33))
+    sizes = [(r["__part"], r["count"]) for r in placed.groupBy("__part").count().collect()]
+    place = F.col("__begin") + F.col("__at").bitwiseAND((1 << 33) - 1)
+    return placed.join(_starts(ordered, sizes), "__part").withColumn(id_col, place).drop("__part", "__begin", "__at")
+
+
+def runs_in_order(df: DataFrame, order: str, keys: list[str], group_col: str = "group_ix", label: str = "runs") -> DataFrame:
+    """Number the runs of consecutive rows with equal keys over all rows in one order; a key that comes again later starts a new run.
+
+    Rows are sorted by range, and each partition numbers its own runs as it is written. A partition's first run goes on with the last
+    one before it if their keys are equal; for that its number of runs and its first and last key come to the driver. Null keys
+    are equal to each other and to nothing else."""
+    key = F.to_json(F.struct(*(F.col(f"`{k}`").alias(f"k{n}") for n, k in enumerate(keys))))
+    ordered = df.withColumn("__key", key).repartitionByRange(F.col(f"`{order}`")).sortWithinPartitions(f"`{order}`", "__key")
+    schema = T.StructType([*ordered.schema.fields, T.StructField("__part", T.LongType()), T.StructField("__run", T.LongType())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, run, last = TaskContext.get().partitionId(), 0, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            own = b.column(b.num_columns - 1)
+            new = np.r_[last is not None and own[0].as_py() != last, np.asarray(pc.not_equal(own.slice(1), own.slice(0, len(own) - 1)), bool)]
+            runs = run + np.cumsum(new)
+            run, last = int(runs[-1]), own[len(own) - 1].as_py()
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(own), part, np.int64)), pa.array(runs.astype(np.int64))], names=schema.names)
+
+    settled = settle(ordered.mapInArrow(number, schema), label)
+    ends = settled.groupBy("__part").agg(F.max("__run").alias("runs"), F.min_by("__key", "__run").alias("first"), F.max_by("__key", "__run").alias("last")).orderBy("__part").collect()
+    starts, following, before = [], 0, None
+    for r in ends:
+        begin = following - 1 if before is not None and r["first"] == before else following
+        starts.append((r["__part"], begin))
+        following, before = begin + r["runs"] + 1, r["last"]
+    begins = F.broadcast(df.sparkSession.createDataFrame(starts, "__part long, __begin long"))  # a row for each partition
+    return settled.join(begins, "__part").withColumn(group_col, F.col("__begin") + F.col("__run")).drop("__part", "__begin", "__run", "__key")
 
 
 def key_change_groups(df: DataFrame, partition: list[str], order: list[str], keys: list[str], group_col: str = "group_ix") -> DataFrame:
@@ -61,14 +101,15 @@ def key_change_groups(df: DataFrame, partition: list[str], order: list[str], key
 
 
 def verse_sentences(lines: DataFrame, order: str = "id", keys: tuple[str, ...] = ("chapter_id", "strophe_id"), alphabet: Alphabet = GEORGIAN, min_ratio: float = 0.6) -> DataFrame:
-    """``group_ix``, ``article``, ``text``: the lines of each run of equal chapter and strophe as one text, under its first chapter.
+    """The first key, ``group_ix``, ``first_line``, ``article``, ``text``: the lines of each run of equal chapter and strophe as one text, under its first chapter.
 
-    A run whose lines are all empty has no row. Lines are put in order within chapters, so no task sees more than one chapter."""
-    runs = key_change_groups(lines, [keys[0]], [order], list(keys[1:])).withColumn("__line", X.verse_line(F.col("line")))
+    Runs are those of all lines in one order, so a strophe that comes again after another one is a group of its own. A run whose
+    lines are all empty has no row. No task sees more than its range of lines and the runs that it puts together."""
+    runs = runs_in_order(lines, order, list(keys)).withColumn("__line", X.verse_line(F.col("line")))
     grouped = (
         runs.where(F.length("__line") > 0)
-        .groupBy(keys[0], "group_ix")
-        .agg(F.min(F.struct(order, "chapter"))["chapter"].alias("article"), F.min(order).alias("first_line"), F.array_sort(F.collect_list(F.struct(order, "__line"))).alias("l"))
+        .groupBy("group_ix")
+        .agg(F.first(keys[0]).alias(keys[0]), F.min(F.struct(order, "chapter"))["chapter"].alias("article"), F.min(order).alias("first_line"), F.array_sort(F.collect_list(F.struct(order, "__line"))).alias("l"))
     )
     text = X.one_space(F.array_join(F.transform("l", lambda x: x["__line"]), " "))
     return grouped.select(keys[0], "group_ix", "first_line", "article", text.alias("text")).where(X.letter_ratio(F.col("text"), alphabet) >= min_ratio)
@@ -153,12 +194,17 @@ def frequent_tokens(docs: DataFrame, id_col: str, tokens_col: str, least: int =
 
 
 def unit_corpus(lines: DataFrame, key: str, title: str | None = None, line: str = "line", order: str = "id") -> DataFrame:
-    """``key``, ``text``: the words of two letters or more of each chapter, strophe or line, its title first; units with fewer than two are dropped."""
-    grouped = lines.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, F.coalesce(line, F.lit("")).alias("line")))).alias("l"), *([F.min(F.struct(order, title))[title].alias("title")] if title else []))
-    whole = F.array_join(F.transform("l", lambda x: x["line"]), " ")
-    whole = F.concat_ws(" ", "title", whole) if title else whole
-    words = F.filter(F.split(X.cleanup(whole), " "), lambda w: F.length(w) > 1)
-    return grouped.select(key, words.alias("w")).where(F.size("w") > 1).select(key, F.array_join("w", " ").alias("text"))
+    """``key``, ``text``: the words of two letters or more of each chapter, strophe or line, its title first; units with fewer than two are dropped.
+
+    Lines are cleaned where they are read; what a unit brings together are its words, which are its row of the result."""
+    words = lambda text: F.filter(F.split(X.cleanup(text), " "), lambda w: F.length(w) > 1)
+    each = lines.select(key, order, F.array_join(words(F.coalesce(line, F.lit(""))), " ").alias("__words"), *([F.col(title).alias("__title")] if title else []))
+    first = [F.min(F.struct(order, "__title"))["__title"].alias("__title")] if title else []
+    grouped = each.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("__words") != "", F.struct(order, "__words")))).alias("l"), *first)
+    parts = F.transform("l", lambda x: x["__words"])
+    if title:
+        parts = F.concat(F.array(F.array_join(words(F.coalesce("__title", F.lit(""))), " ")), parts)
+    return grouped.select(key, F.array_join(F.filter(parts, lambda x: x != ""), " ").alias("text")).where(F.contains("text", F.lit(" ")))
 
 
 def distinct_characters(df: DataFrame, col: str | Column) -> DataFrame:

@@ -214,9 +214,9 @@ def key_change_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 _VERSE = f"""
 WITH l AS (SELECT id, article, id // 4 AS strophe, trim(trim(regexp_replace(text, '^{SPACE}+|{SPACE}+$', '', 'g')), '"') AS line FROM sentences),
-g AS (SELECT *, sum(new) OVER (PARTITION BY article ORDER BY id ROWS UNBOUNDED PRECEDING) - 1 AS group_ix FROM (
-  SELECT *, CASE WHEN row_number() OVER w = 1 OR strophe IS DISTINCT FROM lag(strophe) OVER w THEN 1 ELSE 0 END AS new FROM l WINDOW w AS (PARTITION BY article ORDER BY id))),
-j AS (SELECT article AS chapter_id, group_ix, min(id) AS first_line, any_value(article) AS article, trim(regexp_replace(string_agg(line, ' ' ORDER BY id), '{SPACE}+', ' ', 'g')) AS text FROM g WHERE length(line) > 0 GROUP BY 1, 2)
+g AS (SELECT *, sum(new) OVER (ORDER BY id ROWS UNBOUNDED PRECEDING) - 1 AS group_ix FROM (
+  SELECT *, CASE WHEN row_number() OVER w = 1 OR article IS DISTINCT FROM lag(article) OVER w OR strophe IS DISTINCT FROM lag(strophe) OVER w THEN 1 ELSE 0 END AS new FROM l WINDOW w AS (ORDER BY id))),
+j AS (SELECT article AS chapter_id, group_ix, min(id) AS first_line, article, trim(regexp_replace(string_agg(line, ' ' ORDER BY id), '{SPACE}+', ' ', 'g')) AS text FROM g WHERE length(line) > 0 GROUP BY 1, 2)
 SELECT * FROM j WHERE length(text) > 0 AND length(regexp_replace(text, '[^{_L}]', '', 'g')) / length(text) >= 0.6
 """
 

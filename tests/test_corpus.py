@@ -36,6 +36,28 @@ def test_verse(spark):
     assert [(r["article"], r["text"]) for r in got] == [("t1", "აა ბბ გგ დდ ეე"), ("t1", "ვ ზ"), ("t2", "თ ი")]
 
 
+def test_runs_over_all_lines(spark):
+    rng = random.Random(3)
+    rows = [(n, f"ა{n}", *((None, "1") if n % 50 == 7 else (rng.choice("AB"), rng.choice("12")))) for n in range(400)]
+    rows += [(400 + n, f"ბ{n}", "C", "9") for n in range(300)]  # one run over several partitions
+    df = spark.createDataFrame(rows, "id long, line string, chapter_id string, strophe_id string").withColumn("chapter", F.col("chapter_id"))
+    want, last = [], None
+    for n, line, c, s in rows:
+        want = want if last == (c, s) else [*want, [n, c, []]]
+        want[-1][2].append(line)
+        last = (c, s)
+    for parts in (1, 6):
+        spark.conf.set("spark.sql.adaptive.enabled", str(parts == 1).lower())  # without it the lines stay in several ranges
+        got = corpus.verse_sentences(df.repartition(parts), min_ratio=0).orderBy("first_line").collect()
+        assert [(r["first_line"], r["chapter_id"], r["text"].split()) for r in got] == [tuple(w) for w in want]
+        assert [r["group_ix"] for r in got] == list(range(len(want)))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    again = [(1, "ა", "A"), (2, "ბ", "B"), (3, "გ", "A")]
+    df = spark.createDataFrame(again, "id long, line string, chapter_id string").selectExpr("*", "chapter_id AS chapter", "'1' AS strophe_id")
+    assert [r["text"] for r in corpus.verse_sentences(df).orderBy("first_line").collect()] == ["ა", "ბ", "გ"]
+    assert corpus.verse_sentences(df.limit(0)).count() == 0
+
+
 def test_html():
     page = """<html><body><p>one <b>two</b><sup>9</sup></p><div class="infobox"><p>no</p></div><table><p>no</p></table>
     <ol class="references"><li><p>no</p></li></ol><p></p><p>three<p>four<br>five</body></html>"""
