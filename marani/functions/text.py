@@ -144,8 +144,11 @@ def input_window(template: str, sentence: Column, form: Column, alphabet: Alphab
 
     The form is looked for as a whole word, else anywhere; null if it isn't there. The crop begins after the last space before
     ``reach`` characters ahead of the form and ends at the first space ``reach`` characters behind it, or at the text's ends."""
-    whole = F.regexp_instr(sentence, word_pattern(form, alphabet))
-    start = F.when(whole > 0, whole).otherwise(F.position(form, sentence)) - 1
+    first = F.position(form, sentence)
+    # The characters around the first place say mostly whether it is a whole word; only where it isn't a pattern is made to look further.
+    around = F.concat(F.substring(sentence, first - 1, F.when(first > 1, 1).otherwise(0)), F.substring(sentence, first + F.length(form), F.lit(1)))
+    further = F.regexp_instr(sentence, word_pattern(form, alphabet))
+    start = F.when((first == 0) | ~around.rlike(f"[{alphabet.letters}]"), first).when(further > 0, further).otherwise(first) - 1
     end = start + F.length(form)
     ahead = F.substring(sentence, F.lit(1), F.greatest(start - reach, F.lit(0)))
     space_before = F.length(ahead) - F.position(F.lit(" "), F.reverse(ahead)) + 1  # behind the last space, if there is one

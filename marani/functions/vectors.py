@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -55,3 +60,41 @@ def combine(terms: list[tuple[float, Column]]) -> Column:
         part = times(v, w)
         out = part if out is None else F.zip_with(out, part, lambda x, y: x + y)
     return out
+
+
+def matrix_of(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The rows of a list column as a matrix of double precision; all lists must be of one length and without nulls."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(flat.flatten(), np.float64).reshape(len(flat), -1)
+
+
+def weighted_sums(df: DataFrame, key: str, weight: Column, vec: Column) -> DataFrame:
+    """``key``, ``total ARRAY<DOUBLE>``, ``weight``: the sums of each key's vectors times their weights, and of the weights.
+
+    Each batch of a task is added up first, so that of a key that many rows have one row a batch is shuffled. A vector travels
+    whole, not as a row for each dimension. Rows whose key, weight or vector is null are left out; all vectors must be of
+    one length."""
+    rows = df.select(F.col(f"`{key}`").alias("k"), weight.cast("double").alias("w"), vec.cast("array<double>").alias("v")).where("k IS NOT NULL AND w IS NOT NULL AND v IS NOT NULL")
+    schema = T.StructType([rows.schema["k"], T.StructField("w", T.DoubleType()), T.StructField("v", T.ArrayType(T.DoubleType()))])
+
+    def sums(key_column: pa.Array, w: np.ndarray, v: np.ndarray) -> list[pa.Array]:
+        coded = key_column.dictionary_encode()
+        at = np.asarray(coded.indices)
+        order = np.argsort(at, kind="stable")
+        start = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]])
+        total = np.add.reduceat(v[order], start, axis=0)
+        offsets = pa.array(np.arange(len(start) + 1, dtype=np.int32) * v.shape[1])
+        return [coded.dictionary.take(pa.array(at[order][start])), pa.array(np.add.reduceat(w[order], start)), pa.ListArray.from_arrays(offsets, pa.array(total.ravel()))]
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                w = np.asarray(b.column(1))
+                yield pa.RecordBatch.from_arrays(sums(b.column(0), w, matrix_of(b.column(2)) * w[:, None]), names=["k", "w", "v"])
+
+    def between(block: pa.Table) -> pa.Table:
+        column = block.column("k").combine_chunks()
+        return pa.Table.from_arrays(sums(column, np.asarray(block.column("w")), matrix_of(block.column("v"))), names=["k", "w", "v"])
+
+    partial = rows.mapInArrow(within, schema)
+    return partial.groupBy("k").applyInArrow(between, schema).select(F.col("k").alias(key), F.col("v").alias("total"), F.col("w").alias("weight"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..functions import vectors as V
 from ..functions.alphabet import GEORGIAN, Alphabet
 
 Encoder = Callable[[list[str], list[tuple[int, int]]], np.ndarray]
@@ -74,8 +75,22 @@ def embed(contexts: DataFrame, encoder: Encoder, dimensions: int, key: str = "i"
             yield pd.DataFrame({key: keys, "total": list(sums), "n": np.bincount(at, minlength=len(keys))})
 
     parts = contexts.mapInPandas(run, schema)
-    each = parts.select(key, "n", F.posexplode("total").alias("p", "x")).groupBy(key, "p").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
-    whole = each.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", F.col("x") / F.col("n")))), lambda y: y["col2"]).alias("v"), F.max("n").alias("n_used"))
-    from ..functions.vectors import l2_normalize
-
-    return whole.select(key, l2_normalize(F.col("v")).alias("vec"), "n_used")
+    counts = parts.groupBy(key).agg(F.sum("n").alias("n_used"))
+    whole = V.weighted_sums(parts, key, F.lit(1.0), F.col("total"))
+    return whole.join(counts, key).select(key, V.l2_normalize(F.col("total")).alias("vec"), "n_used")
+
+
+def span_pooled(tokens: DataFrame, key: str = "i", row: str = "row", start: str = "start", end: str = "end") -> DataFrame:
+    """``key``, ``vec``, ``n_used``: the mean, at length 1, of each word's contexts, each the mean of its tokens' vectors.
+
+    ``tokens`` has a row for each token of each context (``row``) of a word (``key``): its place in the text (``at``, ``until``), its vector
+    (``vec``), and the span of the word there (``start``, ``end``). A token counts if it overlaps the span; those without width,
+    as marks of beginning and end are, never do. A context without such a token is left out."""
+    inside = (F.col("until") > F.col("at")) & (F.col("at") < F.col(end)) & (F.col("until") > F.col(start))
+    named = F.struct(F.col(f"`{key}`").alias("k"), F.col(f"`{row}`").alias("r"))
+    each = tokens.where(inside).withColumn("__context", F.to_json(named))
+    kind = f"struct<k:{tokens.schema[key].dataType.simpleString()}>"
+    means = V.weighted_sums(each, "__context", F.lit(1.0), F.col("vec"))
+    mean = F.transform("total", lambda x: x / F.col("weight"))
+    whole = V.weighted_sums(means.select(F.from_json("__context", kind)["k"].alias(key), mean.alias("v")), key, F.lit(1.0), F.col("v"))
+    return whole.select(key, V.l2_normalize(F.col("total")).alias("vec"), F.col("weight").cast("long").alias("n_used"))

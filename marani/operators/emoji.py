@@ -36,10 +36,9 @@ def compose(matches: DataFrame, vectors: DataFrame, vocab: DataFrame, key: str =
 
     An emoji that matches no word with a vector, or whose mean is zero, isn't placed."""
     joined = matches.join(vectors.select("i", F.col(vec).alias("v")), "i").join(vocab.select("i", F.coalesce("freq", F.lit(0)).alias("f")), "i", "left")
-    each = joined.select(key, "weight", "f", F.posexplode("v").alias("p", "x"))
-    mean = each.groupBy(key, "p").agg((F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("x"), F.max("f").alias("f"))
-    whole = mean.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "x"))), lambda y: y["x"]).alias("v"), F.max("f").alias("freq"))
-    return whole.where(V.norm(F.col("v")) > 0).select(key, V.l2_normalize(F.col("v")).alias("vec"), "freq")
+    mean = V.weighted_sums(joined, key, F.col("weight"), F.col("v"))
+    freq = joined.groupBy(key).agg(F.max("f").alias("freq"))
+    return mean.where(V.norm(F.col("total")) > 0).join(freq, key).select(key, V.l2_normalize(F.col("total")).alias("vec"), "freq")
 
 
 def coverage(placed: DataFrame, asked: DataFrame, key: str = "emoji", least: float = 0.5) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import Word2Vec
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,6 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import vectors as V
 from ..functions.alphabet import GEORGIAN, Alphabet
+from ..runtime import settle
+
+#: Stated queries that are sent to all tasks at once.
+QUERIES_AT_ONCE = 4096
 
 
 def units(vectors: DataFrame, word: str = "word", vec: str = "vec") -> DataFrame:
@@ -19,7 +25,17 @@ def units(vectors: DataFrame, word: str = "word", vec: str = "vec") -> DataFrame
 def ranked_targets(queries: DataFrame, u: DataFrame, exclude: list[str]) -> DataFrame:
     """All words by similarity to each query's ``target`` vector, ranked from 0; the words in ``exclude`` columns are left out.
 
-    The stated queries are few and fixed; they are sent to the vectors, which are read once and never moved."""
+    The stated queries are sent to the vectors, which are read once and never moved, in parts of at most ``QUERIES_AT_ONCE``; an index
+    holds at most 65,535 words, so that is all that meets."""
+    number = queries.count()
+    if number > QUERIES_AT_ONCE:
+        parts = -(-number // QUERIES_AT_ONCE)
+        cut = settle(queries.withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(parts))), "queries")
+        return reduce(DataFrame.unionByName, (_scored(cut.where(F.col("__part") == n).drop("__part"), u, exclude) for n in range(parts)))
+    return _scored(queries, u, exclude)
+
+
+def _scored(queries: DataFrame, u: DataFrame, exclude: list[str]) -> DataFrame:
     scored = u.crossJoin(F.broadcast(queries)).select(*queries.columns, F.col("word").alias("candidate"), F.round(V.dot(F.col("target"), F.col("u")), 9).alias("score"))
     for c in exclude:
         scored = scored.where(F.col("candidate") != F.col(c))
@@ -113,15 +129,19 @@ def probe_metrics(probes: DataFrame, vocab: DataFrame, neighbours: DataFrame, al
     return total.withColumn("hit_rate", F.when(F.col("present") > 0, F.col("hits") / F.col("present")).otherwise(F.lit(0.0)))
 
 
-def train_word_vectors(corpus: DataFrame, tokens_col: str = "tokens", size: int = 100, window: int = 5, rate: float = 0.025, iterations: int = 1, max_vocab: int | None = 20_000, seed: int = 42) -> DataFrame:
-    """``word``, ``vec``: skip-gram vectors; the vocabulary is cut to the most frequent words before."""
+def train_word_vectors(corpus: DataFrame, tokens_col: str = "tokens", size: int = 100, window: int = 5, rate: float = 0.025, iterations: int = 1, max_vocab: int | None = 20_000, seed: int = 42, partitions: int | None = None) -> DataFrame:
+    """``word``, ``vec``: skip-gram vectors; the vocabulary is cut to the most frequent words before.
+
+    The corpus is trained on in ``partitions`` parts side by side, whose vectors are put together after each iteration: as many as
+    there are cores unless said otherwise. With more parts than one, results depend on their number."""
     if max_vocab is not None:
         counts = corpus.select(F.explode(tokens_col).alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(max_vocab)
         kept = corpus.select(F.monotonically_increasing_id().alias("r"), F.posexplode(tokens_col).alias("p", "w")).join(counts, "w")
         corpus = kept.groupBy("r").agg(F.array_sort(F.collect_list(F.struct("p", "w"))).alias("l")).select(F.transform("l", lambda x: x["w"]).alias(tokens_col))
     from pyspark.ml.functions import vector_to_array
 
-    model = Word2Vec(vectorSize=size, windowSize=window, stepSize=rate, maxIter=iterations, minCount=0, seed=seed, inputCol=tokens_col, outputCol="out").fit(corpus)
+    parts = partitions or corpus.sparkSession.sparkContext.defaultParallelism
+    model = Word2Vec(vectorSize=size, windowSize=window, stepSize=rate, maxIter=iterations, numPartitions=parts, minCount=0, seed=seed, inputCol=tokens_col, outputCol="out").fit(corpus)
     return model.getVectors().select("word", vector_to_array("vector").alias("vec"))
 
 

@@ -9,6 +9,7 @@ import math
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.feature import PCA
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +21,8 @@ CEILING = 65_535
 
 def pca_reduce(vectors: DataFrame, dimensions: int = 128, id_col: str = "i", vec_col: str = "vec") -> DataFrame:
     """``id_col``, ``vec``: centred principal components at length 1. The signs of components are arbitrary."""
-    means = vectors.select(F.posexplode(vec_col).alias("p", "x")).groupBy("p").agg(F.avg("x").alias("m"))
-    centre = F.broadcast(means.agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "m"))), lambda x: x["m"]).alias("__centre")))  # one row
+    means = vectors.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("v")).agg(Summarizer.mean(F.col("v")).alias("m"))
+    centre = F.broadcast(means.select(vector_to_array("m").alias("__centre")))  # one row
     centred = vectors.crossJoin(centre).select(id_col, array_to_vector(F.zip_with(F.col(vec_col).cast("array<double>"), F.col("__centre"), lambda x, m: x - m)).alias("features"))
     model = PCA(k=dimensions, inputCol="features", outputCol="out").fit(centred)
     return model.transform(centred).select(id_col, V.l2_normalize(vector_to_array("out")).alias("vec"))

@@ -18,7 +18,7 @@ SENT_BYTES = 64 << 20
 
 
 def _unit(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    m = np.array(column.to_pylist(), np.float64)
+    m = V.matrix_of(column)
     n = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(n == 0, 1, n)
 
