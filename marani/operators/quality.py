@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 
-MAX_BYTES, MAX_DISPLACEMENT, CEILING = 30 << 20, 0.35, 65_535
+MAX_BYTES, MAX_DISPLACEMENT, CEILING = 30_000_000, 0.35, 65_535
 
 
 def _rows(df: DataFrame, check: str, bad: Column, detail: Column) -> DataFrame:
@@ -68,7 +68,8 @@ def total_size(files: DataFrame, most: int = MAX_BYTES) -> DataFrame:
 
 
 def probes_pass(metrics: DataFrame, least: float = 0.7) -> DataFrame:
-    return _rows(metrics, "probes", (F.col("hit_rate") < least) | (F.col("forbidden") > 0), F.col("hit_rate"))
+    """Too few hits break the check, unless no probe is present, and so does any forbidden neighbour."""
+    return _rows(metrics, "probes", ((F.col("present") > 0) & (F.col("hit_rate") < least)) | (F.col("forbidden") > 0), F.col("hit_rate"))
 
 
 def covered(coverage: DataFrame) -> DataFrame:

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,29 +17,77 @@ from ..sources import sinks
 
 @dataclass(frozen=True)
 class Settings:
-    """What the stages take as parameters; ``of`` reads them from a configuration."""
-
+    """What the stages take as parameters; ``of`` reads them from the configurations of a dataset and of its corpus."""
+
+    id: str = "dataset"
+    corpus: str | None = None
+    name_ka: str = ""
+    name_en: str = ""
+    model: str | None = None
+    revision: str = "main"
     min_words: int = 4
     max_words: int | None = 60
     min_ratio: float = 0.6
+    abbreviations: tuple[str, ...] = GEORGIAN.abbreviations
+    group_by: tuple[str, ...] = ("chapter_id", "strophe_id")
     min_occurrences: int = 8
     target: int = 30_000
+    affixes: str | None = None
+    lemma_sources: tuple[str, ...] = ()
+    word_lists: tuple[str, ...] = ()
     contexts: int = 64
     per_article: int = 2
+    sample_seed: int = vocab.SEED
     template: str = "{text}"
+    layer: str | float | None = None
+    window_tokens: int = 96
     reduce: str = "mrl"
     dimensions: int = 128
+    aligned_group: str | None = None
+    reference: str | None = None
     neighbours: int = 15
     umap: dict = field(default_factory=lambda: {"n_neighbors": 30, "min_dist": 0.08, "seed": 20260704})
 
     @classmethod
-    def of(cls, config: dict) -> Settings:
-        e, v, m, r = (config.get(k, {}) for k in ("extract", "vocab", "embed", "reduce"))
-        u = {k: x for k, x in r.get("umap", {}).items() if k in ("n_neighbors", "min_dist", "seed")}
-        return cls(
-            e.get("min_words", 4), e.get("max_words", 60), e.get("min_georgian_ratio", 0.6), max(v.get("min_occ", 8), v.get("min_freq", 0)), v.get("target_size", 30_000),
-            m.get("N", 64), m.get("per_article_cap", 2), m.get("prompt_template", "{text}"), r.get("dim128_method", "mrl"), 128, config.get("neighbors", {}).get("k", 15), u or cls().umap,
-        )
+    def of(cls, *configs: dict) -> Settings:
+        """A key that a configuration doesn't have keeps its default, or what an earlier configuration says."""
+        flat = {}
+        for config in configs:
+            for part, names in KEYS.items():
+                own = config.get(part) or {} if part else config
+                flat |= {name: own[key] for key, name in names.items() if own.get(key) is not None}
+        if "least_frequency" in flat:
+            flat["min_occurrences"] = max(flat.pop("least_frequency"), flat.get("min_occurrences", cls.min_occurrences))
+        if "umap" in flat:
+            flat["umap"] = {k: v for k, v in flat["umap"].items() if k in ("n_neighbors", "min_dist", "seed")} or cls().umap
+        lists = [flat.pop(k) for k in ("blocklist", "stopwords") if k in flat]
+        flat |= {k: tuple(flat[k]) for k in ("abbreviations", "group_by", "lemma_sources") if k in flat}
+        return cls(**flat, **({"word_lists": tuple(lists)} if lists else {}))
+
+    @property
+    def alphabet(self) -> Alphabet:
+        return replace(GEORGIAN, abbreviations=self.abbreviations)
+
+    def described(self) -> dict:
+        """The fields of a dataset's record that the settings give."""
+        return {
+            "id": self.id, "corpus": self.corpus, "model": {"id": self.model, "revision": self.revision}, "name_ka": self.name_ka or self.id, "name_en": self.name_en or self.id,
+            "prompt": self.template, "layer": self.layer, "N": self.contexts, "per_article_cap": self.per_article, "window_tokens": self.window_tokens,
+            "seeds": {"sample": self.sample_seed, "umap": self.umap.get("seed")}, "dim128_method": self.reduce, "umap": self.umap,
+            "aligned_group": self.aligned_group, "reference": self.reference == self.id,
+        }
+
+
+# The keys of configurations, by their section, and what they are called here.
+KEYS = {
+    "": {"id": "id", "corpus": "corpus", "name_ka": "name_ka", "name_en": "name_en"},
+    "model": {"id": "model", "revision": "revision"},
+    "extract": {"min_words": "min_words", "max_words": "max_words", "min_georgian_ratio": "min_ratio", "abbrev_blocklist": "abbreviations", "group_by": "group_by"},
+    "vocab": {"min_occ": "min_occurrences", "min_freq": "least_frequency", "target_size": "target", "aff": "affixes", "lemma_sources": "lemma_sources", "blocklist": "blocklist", "stopwords": "stopwords"},
+    "embed": {"N": "contexts", "per_article_cap": "per_article", "seed": "sample_seed", "prompt_template": "template", "layer_frac": "layer", "layer": "layer", "window_tokens": "window_tokens"},
+    "reduce": {"dim128_method": "reduce", "umap": "umap", "aligned_group": "aligned_group", "reference": "reference"},
+    "neighbors": {"k": "neighbours"},
+}
 
 
 def build_sentences(documents: DataFrame, s: Settings = Settings(), alphabet: Alphabet = GEORGIAN, limit: int | None = None, article: str = "title") -> DataFrame:
@@ -54,6 +101,27 @@ def build_sentences(documents: DataFrame, s: Settings = Settings(), alphabet: Al
     return named.select("id", "article", F.col("sentence").alias("text"))
 
 
+def archive_documents(pages: DataFrame, limit: int | None = None) -> DataFrame:
+    """``doc_id``, ``text``, ``title`` of the pages of an archive (``page_id``, ``title``, ``html``): each paragraph is a text of its own. ``limit`` takes the first pages."""
+    if limit is not None:
+        pages = pages.orderBy("page_id").limit(limit)
+    paragraphs = corpus.page_paragraphs(pages).join(pages.select("page_id", "title"), "page_id")
+    return corpus.dense_ids(paragraphs, ["page_id", "para_ix"], "doc_id", "paragraphs").select("doc_id", "text", "title")
+
+
+def dump_documents(pages: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``, ``title`` of the articles of a dump (``id``, ``title``, ``text``), without their markup."""
+    good = pages.where(X.real_page(F.col("title"), F.col("text")))
+    return good.select(F.col("id").cast("long").alias("doc_id"), X.remove_markup(F.col("text")).alias("text"), "title")
+
+
+def verse_corpus(lines: DataFrame, s: Settings = Settings(), limit: int | None = None) -> DataFrame:
+    """``id``, ``article``, ``text``: the groups of verse as sentences, numbered in their order; ``limit`` takes the first ones."""
+    groups = corpus.verse_sentences(lines, keys=s.group_by, alphabet=s.alphabet, min_ratio=s.min_ratio)
+    numbered = corpus.dense_ids(groups, ["first_line"], "id", "groups").select("id", "article", "text")
+    return numbered if limit is None else numbered.where(F.col("id") < limit)
+
+
 def build_forms(stems: DataFrame, affixes: morph.Affixes, lemmas: DataFrame | None = None, alphabet: Alphabet = GEORGIAN) -> DataFrame:
     return vocab.form_to_lemma(morph.form_lemma_pairs(morph.expand(stems, affixes), lemmas, alphabet))
 
@@ -71,7 +139,7 @@ def build_vocabulary(sentences: DataFrame, forms: DataFrame | None = None, words
 def build_vectors(vocabulary: DataFrame, sentences: DataFrame, encoder: contexts.Encoder, dimensions: int, s: Settings = Settings(), alphabet: Alphabet = GEORGIAN) -> DataFrame:
     """``i``, ``vec``; a word of which no context can be used has a zero vector."""
     occ = vocabulary.select("i", F.posexplode("occ").alias("pos", "o")).select("i", "pos", "o.sid", "o.form")
-    sampled = vocab.sample_contexts(vocab.with_context(occ, sentences), s.per_article, s.contexts)
+    sampled = vocab.sample_contexts(vocab.with_context(occ, sentences), s.per_article, s.contexts, s.sample_seed)
     made = contexts.embed(contexts.inputs(sampled, s.template, alphabet=alphabet), encoder, dimensions)
     zero = F.array_repeat(F.lit(0.0), dimensions)
     return vocabulary.select("i").join(made.select("i", "vec"), "i", "left").withColumn("vec", F.coalesce("vec", zero))
@@ -97,9 +165,10 @@ def publish(folder: str, config: dict, vocabulary: DataFrame, vectors: DataFrame
     _, points, _, moved = laid or layout.aligned_layout(v, *(reference or ()), **s.umap)
     shift = moved.first() if moved is not None else None
     count, width = v.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
-    meta = sinks.dataset_meta(config, vocab.vocabulary_hash(vocabulary).first()[0], count, width, shift and shift["median"], shift and shift["p95"])
-    meta["files"] = sinks.write_dataset(folder, meta, vocabulary, points, near, quantized)
-    return meta
+    reduced = quantized.agg(F.max(F.size("quantized.q"))).first()[0]
+    moved_by = {"median": shift and shift["median"], "p95": shift and shift["p95"]}
+    meta = sinks.record(**s.described(), vocab_hash=vocab.vocabulary_hash(vocabulary).first()[0], config_hash=sinks.config_hash(config), count=count, dims_full=width, dims_i8=reduced, displacement=moved_by)
+    return meta | {"files": sinks.write_dataset(folder, meta, vocabulary, points, near, quantized)}
 
 
 def emoji_vectors(keywords: DataFrame, vocabulary: DataFrame, reduced: DataFrame, least: float = 0.5) -> DataFrame:
@@ -123,22 +192,16 @@ def publish_emoji(folder: str, config: dict, keywords: DataFrame, vocabulary: Da
     first = keywords.where(F.col("rank") < shown).groupBy("emoji").agg(F.array_sort(F.collect_set(F.struct("rank", "keyword"))).alias("k"))
     rows = placed.select("i", "emoji").join(first, "emoji").select("i", F.transform("k", lambda x: x["keyword"]).alias("k")).orderBy("i").collect()  # at most 65,535
     meta |= {"emoji": True, "vocab_hash": vocab.vocabulary_hash(labels, "").first()[0]}
-    for name, content in (("emoji-kw.json", [r["k"] for r in rows]), ("meta.json", meta)):
-        with open(f"{folder}/{meta['id']}/{name}", "w", encoding="utf-8") as f:
-            json.dump(content, f, ensure_ascii=False)
-    with open(f"{folder}/index.json", encoding="utf-8") as f:
-        index = json.load(f)
-    for e in index:
-        e.pop("has_emoji", None)
-        if e["id"] == meta["id"]:
-            e["emoji"] = True
-    with open(f"{folder}/index.json", "w", encoding="utf-8") as f:
-        json.dump(index, f, ensure_ascii=False, indent=2)
+    sinks.write_json(f"{folder}/{meta['id']}/emoji-kw.json", [r["k"] for r in rows])
+    sinks.write_json(f"{folder}/{meta['id']}/meta.json", {k: v for k, v in meta.items() if k != "files"})
+    sinks.put_into_index(keywords.sparkSession, folder, meta, meta["files"], emoji=True)
     return meta
 
 
-def evaluate(spark: SparkSession, folder: str, datasets: list[dict], probes: dict[str, DataFrame], words: DataFrame | None = None, least: float = 0.35) -> DataFrame:
-    """``check``, ``detail`` of all that is wrong with the datasets of a folder."""
+def evaluate(spark: SparkSession, folder: str, datasets: list[dict], probes: dict[str, DataFrame], words: DataFrame | None = None, least: dict[str, float] | float = 0.7) -> DataFrame:
+    """``check``, ``detail`` of all that is wrong with the datasets of a folder.
+
+    ``words`` are those that no label may be; ``least`` is the least hit rate of probes, of each corpus or of all (0.7 where none is given)."""
     from ..sources import binary, readers
 
     checks = [quality.total_size(sinks.files_table(spark, folder))]
@@ -156,5 +219,5 @@ def evaluate(spark: SparkSession, folder: str, datasets: list[dict], probes: dic
         if words is not None:
             checks.append(quality.no_listed_words(names, words))
         if d.get("corpus") in probes:
-            checks.append(quality.probes_pass(evaluation.probe_metrics(probes[d["corpus"]], names, near), least))
+            checks.append(quality.probes_pass(evaluation.probe_metrics(probes[d["corpus"]], names, near), least.get(d["corpus"], 0.7) if isinstance(least, dict) else least))
     return quality.gate(*checks)

@@ -5,7 +5,6 @@ records, so a file is cut into ranges of rows that are read in parallel."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from . import files
+
 SCHEMAS = {
     "neighbors": "i int, idx array<int>, sim array<smallint>",
     "points": "i int, x float, y float",
@@ -33,7 +34,9 @@ class RowRange(InputPartition):
 class PackedReader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
         self.path, self.kind, self.count = options["path"], options["kind"], int(options["count"])
-        size = os.path.getsize(self.path)
+        size = files.size(self.path)
+        if size is None:
+            raise FileNotFoundError(self.path)
         if self.kind == "neighbors":
             whole = self.count > 0 and size % (RECORD.itemsize * self.count) == 0
             self.width = size // self.count if whole else 0  # a file of another size has no rows
@@ -48,9 +51,7 @@ class PackedReader(DataSourceReader):
         n = part.end - part.start
         if not n:
             return
-        with open(self.path, "rb") as f:
-            f.seek(part.start * self.width)
-            data = f.read(n * self.width)
+        data = files.read(self.path, part.start * self.width, n * self.width)
         i = pa.array(np.arange(part.start, part.end, dtype="i4"))
 
         def lists(values: np.ndarray, kind: pa.DataType) -> pa.Array:

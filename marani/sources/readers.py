@@ -158,6 +158,12 @@ def probes(spark: SparkSession, path: str, corpus: str) -> DataFrame:
     return rows.select(F.explode(corpus).alias("p")).select("p.word", F.coalesce("p.expected", F.array().cast("array<string>")).alias("expected"), F.coalesce("p.forbidden", F.array().cast("array<string>")).alias("forbidden"))
 
 
+def probe_thresholds(spark: SparkSession, path: str) -> dict[str, float]:
+    """The least hit rate of each corpus in a probe file."""
+    rows = spark.read.option("multiLine", True).schema("thresholds map<string,struct<hit_rate:double>>").json(path)
+    return {r["key"]: r["value"]["hit_rate"] for r in rows.select(F.explode("thresholds")).collect() if r["value"] and r["value"]["hit_rate"] is not None}
+
+
 def analogies(spark: SparkSession, path: str) -> DataFrame:
     """``a``, ``b``, ``c``, ``d`` of a JSON list of four words each."""
     rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("q"))

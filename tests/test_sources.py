@@ -70,7 +70,8 @@ def test_dataset_round_trip(spark, tmp_path):
     points = v.select("i", F.col("vec")[0].alias("x"), F.col("vec")[1].alias("y"))
     near = neighbours.exact_neighbours(v, 5)
     q = v.select("i", V.quantize_i8(F.col("vec")).alias("quantized"))
-    meta = sinks.dataset_meta({"id": "d", "_x": 1}, "h", 40, 16, None, None)
+    meta = dict.fromkeys(sinks.RECORD) | {"id": "d", "name_en": "D", "count": 40, "dims_full": 16, "dims_i8": 16}
+    meta = sinks.record(**meta)
     folder = str(tmp_path / "dist")
     for _ in range(2):
         sizes = sinks.write_dataset(folder, meta, vocab, points, near, q)
