@@ -124,14 +124,18 @@ SELECT sid, pos, form, 'title: none | text: ' || substr(t, lo + 1, (hi - lo)::in
 """
 
 
-@query(_WINDOW)
-def input_windows(spark: SparkSession, folder: str) -> DataFrame:
+def _window_rows(spark: SparkSession, folder: str) -> DataFrame:
     occ = _table(spark, folder, "occurrences").where("form IS NOT NULL AND form <> ''").select("sid", "pos", "form").distinct()
     window = X.input_window("title: none | text: {text}", F.col("text"), F.col("form"))
     made = vocab.with_context(occ, _table(spark, folder, "sentences")).withColumn("w", window).where("w IS NOT NULL")
     return made.select("sid", "pos", "form", "w.text", "w.start", "w.end")
 
 
+@query(_WINDOW)
+def input_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return _window_rows(spark, folder)
+
+
 def _clean(keep: str) -> str:
     return f"trim(regexp_replace(regexp_replace(lower(text), '[^{X.OLD_LETTERS}{keep}]', ' ', 'g'), '{SPACE}+', ' ', 'g'))"
 
@@ -705,3 +709,6 @@ def streaming_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return fields.unpack(_table(spark, folder, "emoji_keywords"))
+
+
+from . import rounds  # noqa: E402, F401 - registers further queries

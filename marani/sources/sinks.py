@@ -35,7 +35,9 @@ def write_lines(df: DataFrame, col: str, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """With a header; white space at the ends of values stays."""
+    kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**kept).csv(path)
 
 
 def _ordered(df: DataFrame, path: str, one: Callable[[Row], bytes], order: str = "i") -> int:
