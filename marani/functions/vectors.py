@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,11 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a.cast("array<double>"), b.cast("array<double>"), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with a value that is worked out once, and not again for each element of an array that the body goes through."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def norm(v: Column) -> Column:
     return F.sqrt(F.aggregate(v.cast("array<double>"), F.lit(0.0), lambda s, x: s + x * x))
 
@@ -22,7 +27,7 @@ def norm(v: Column) -> Column:
 def l2_normalize(v: Column) -> Column:
     """A vector of length 1; a zero vector stays as it is."""
     n = norm(v)
-    return F.transform(v.cast("array<double>"), lambda x: x / F.when(n == 0, F.lit(1.0)).otherwise(n))
+    return bound(F.when(n == 0, F.lit(1.0)).otherwise(n), lambda n: F.transform(v.cast("array<double>"), lambda x: x / n))
 
 
 def prefix_reduce(v: Column, dimensions: int = 128) -> Column:
@@ -39,9 +44,12 @@ def quantize_i8(v: Column) -> Column:
     """STRUCT<q ARRAY<TINYINT>, scale DOUBLE>: symmetric per vector; a zero vector has scale 1."""
     d = v.cast("array<double>")
     largest = F.array_max(F.transform(d, F.abs)) / 127
-    scale = F.when(largest == 0, F.lit(1.0)).otherwise(largest)
-    q = F.transform(d, lambda x: F.greatest(F.least(F.rint(x / scale), F.lit(127.0)), F.lit(-127.0)).cast("tinyint"))
-    return F.struct(q.alias("q"), scale.alias("scale"))
+
+    def quantized(scale: Column) -> Column:
+        q = F.transform(d, lambda x: F.greatest(F.least(F.rint(x / scale), F.lit(127.0)), F.lit(-127.0)).cast("tinyint"))
+        return F.struct(q.alias("q"), scale.alias("scale"))
+
+    return bound(F.when(largest == 0, F.lit(1.0)).otherwise(largest), quantized)
 
 
 def int8_cosine(a: Column, b: Column) -> Column:

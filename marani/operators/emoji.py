@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +38,10 @@ def compose(matches: DataFrame, vectors: DataFrame, vocab: DataFrame, key: str =
 
     An emoji that matches no word with a vector, or whose mean is zero, isn't placed."""
     joined = matches.join(vectors.select("i", F.col(vec).alias("v")), "i").join(vocab.select("i", F.coalesce("freq", F.lit(0)).alias("f")), "i", "left")
-    mean = V.weighted_sums(joined, key, F.col("weight"), F.col("v"))
-    freq = joined.groupBy(key).agg(F.max("f").alias("freq"))
-    return mean.where(V.norm(F.col("total")) > 0).join(freq, key).select(key, V.l2_normalize(F.col("total")).alias("vec"), "freq")
+    whole_vector = array_to_vector(F.col("v").cast("array<double>"))
+    mean = joined.groupBy(key).agg(Summarizer.mean(whole_vector, F.col("weight")).alias("m"), F.max("f").alias("freq"))
+    whole = mean.select(key, vector_to_array("m").alias("v"), "freq")
+    return whole.where(V.norm(F.col("v")) > 0).select(key, V.l2_normalize(F.col("v")).alias("vec"), "freq")
 
 
 def coverage(placed: DataFrame, asked: DataFrame, key: str = "emoji", least: float = 0.5) -> DataFrame:
