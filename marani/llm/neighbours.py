@@ -7,10 +7,11 @@ expected of sorted distances. What a bucket holds and what looks into it are com
 sides keep their best; the candidates of all buckets and tables are merged and ranked by exact cosine, ties by the smaller id.
 
 The numbers of directions are fitted on a sample of ``SAMPLE`` vectors: so many that a bucket holds a few times the square root of
-the collection, and no more than ``BUCKET_ROWS``. Buckets that share the cells of the first directions form a group, of about
-``GROUP_ROWS`` vectors. A vector travels once to each group that it is stored in or looks into, with the list of the buckets
-there, and not once to each bucket. A group that is larger all the same is cut into a grid of blocks, each compared with each,
-so that none of its pairs is lost and no task holds it whole. Of equal vectors only as many are searched as can be among another's best.
+the collection, and no more than ``BUCKET_ROWS``; with more directions more buckets are probed. Buckets that share the cells of
+the first directions form a group, of about ``GROUP_ROWS`` vectors. A vector travels once to each group that it is stored in or
+looks into, with the list of the buckets there, and not once to each bucket. A group that is larger all the same is cut into a
+grid of blocks, each compared with each, so that none of its pairs is lost and no task holds it whole. Of equal vectors only as
+many are searched as can be among another's best.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from ..runtime import settle
 
 TABLES, PROBES, WIDTH, SAMPLE = 2, 8, 2.0, 20_000
+#: Directions up to which PROBES are enough to find 99 of 100; two more ask for twice as many.
+PROBED_DIRECTIONS = 6
 #: A bucket holds so many times the square root of the collection, and at most so many rows, on average.
 ROOTS, BUCKET_ROWS = 4, 3_000
 #: Vectors that a group holds, by the sample, and rows beyond which it is cut into blocks of so many.
@@ -99,7 +102,7 @@ def fit(sample: np.ndarray, count: int, tables: int = TABLES, probes: int = PROB
     the least number of the first of them by which no group of the sample stands for more than ``GROUP_ROWS``."""
     want = min(ROOTS * math.sqrt(count), BUCKET_ROWS)
     for m in range(2, 49):
-        hashing = _draw(sample.shape[1], m, tables, width, probes, seed)
+        hashing = _draw(sample.shape[1], m, tables, width, round(probes * max(1.0, 2 ** ((m - PROBED_DIRECTIONS) / 2))), seed)
         if len(sample) < 2:
             return hashing
         shared = 0.0
