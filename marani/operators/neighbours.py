@@ -15,6 +15,8 @@ from ..runtime import settle
 BLOCK_ROWS = 4096
 #: Bytes of an index that is sent to all executors; larger ones are compared in a grid of blocks.
 SENT_BYTES = 64 << 20
+#: The least and the largest index of a packed record by its bytes.
+INDEXES = {2: (0, 65535), 4: (-(1 << 31), (1 << 31) - 1)}
 
 
 def _unit(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -82,12 +84,20 @@ def exact_neighbours(vectors: DataFrame, k: int = 15, id_col: str = "i", vec_col
     return found.select("i", (F.row_number().over(w) - 1).alias("rank"), "j", "cos", V.cosine_u8(F.col("cos")).alias("sim_u8"))
 
 
-def pack_neighbours(neighbours: DataFrame) -> DataFrame:
-    """``i``, ``record``: the neighbours of each row as three bytes each, a little-endian 16-bit index and an 8-bit similarity."""
+def index_bytes(neighbours: DataFrame) -> int:
+    """The bytes that an index needs in a record: 2 where each ``j`` fits into them, as in a published dataset, else 4."""
+    low, high = neighbours.agg(F.min("j"), F.max("j")).first()
+    return 2 if low is None or low >= INDEXES[2][0] and high <= INDEXES[2][1] else 4
+
+
+def pack_neighbours(neighbours: DataFrame, index_bytes: int = 2) -> DataFrame:
+    """``i``, ``record``: the neighbours of each row as three bytes each, a little-endian 16-bit index and an 8-bit similarity.
+
+    With 4 bytes for an index, which is signed then, larger numbers of rows are held too, by records of five bytes."""
     byte = lambda x: F.substring(F.lpad(F.hex(x.cast("long")), 2, "0"), -2, 2)
-    low = byte(F.col("j").bitwiseAND(255))
-    high = byte(F.shiftright("j", 8).bitwiseAND(255))
-    checked = F.when((F.col("j") >= 0) & (F.col("j") <= 65535), F.concat(low, high, byte(F.col("sim_u8")))).otherwise(F.raise_error(F.lit("a neighbour's index doesn't fit into 16 bits")))
+    index = [byte(F.shiftright("j", 8 * n).bitwiseAND(255)) for n in range(index_bytes)]
+    least, most = INDEXES[index_bytes]
+    checked = F.when((F.col("j") >= least) & (F.col("j") <= most), F.concat(*index, byte(F.col("sim_u8")))).otherwise(F.raise_error(F.lit(f"a neighbour's index doesn't fit into {8 * index_bytes} bits")))
     return neighbours.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("rank", checked.alias("h")))).alias("l")).select("i", F.unhex(F.array_join(F.transform("l", lambda x: x["h"]), "")).alias("record"))
 
 

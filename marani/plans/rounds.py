@@ -220,8 +220,9 @@ def neighbour_file(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "layout").where("size(nidx) = 15 AND size(nsim) = 15").groupBy("i").agg(F.min("nidx").alias("nidx"), F.min("nsim").alias("nsim"))
     rows = _numbered(rows)
     each = rows.select("i", F.posexplode(F.arrays_zip("nidx", "nsim")).alias("rank", "z")).select("i", "rank", F.col("z.nidx").alias("j"), F.col("z.nsim").alias("sim_u8"))
-    sinks.write_neighbours(each, at)
-    back = binary.read_packed(spark, at, "neighbors", rows.count())
+    wide = neighbours.index_bytes(each)
+    sinks.write_neighbours(each, at, wide)
+    back = binary.read_packed(spark, at, "neighbors", rows.count(), index_bytes=wide)
     return back.select("i", F.posexplode(F.arrays_zip("idx", "sim")).alias("rank", "z")).select("i", F.col("z.idx").alias("j"), F.col("z.sim").cast("int").alias("sim"), "rank")
 
 

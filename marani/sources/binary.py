@@ -1,6 +1,7 @@
 """The packed files of a published dataset as a data source: ``spark.read.format("marani_packed")``.
 
-Options: ``path``, ``kind`` (neighbors, points, vectors, vscales), ``count``, for vectors ``dims``. Rows are fixed-width
+Options: ``path``, ``kind`` (neighbors, points, vectors, vscales), ``count``, for vectors ``dims``,
+for neighbors ``index_bytes`` (2, or 4 for more rows than a published dataset may have). Rows are fixed-width
 records, so a file is cut into ranges of rows that are read in parallel."""
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ SCHEMAS = {
     "vectors": "i int, q array<tinyint>",
     "vscales": "i int, scale float",
 }
-RECORD = np.dtype([("idx", "<u2"), ("sim", "u1")])
+RECORDS = {n: np.dtype([("idx", kind), ("sim", "u1")]) for n, kind in ((2, "<u2"), (4, "<i4"))}
 ROWS = 16_384
 
 
@@ -38,7 +39,8 @@ class PackedReader(DataSourceReader):
         if size is None:
             raise FileNotFoundError(self.path)
         if self.kind == "neighbors":
-            whole = self.count > 0 and size % (RECORD.itemsize * self.count) == 0
+            self.record = RECORDS[int(options.get("index_bytes", 2))]
+            whole = self.count > 0 and size % (self.record.itemsize * self.count) == 0
             self.width = size // self.count if whole else 0  # a file of another size has no rows
         else:
             self.width = {"points": 8, "vscales": 4, "vectors": int(options.get("dims", 128))}[self.kind]
@@ -59,7 +61,7 @@ class PackedReader(DataSourceReader):
             return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype="i4") * k), pa.array(values).cast(kind))
 
         if self.kind == "neighbors":
-            r = np.frombuffer(data, RECORD)
+            r = np.frombuffer(data, self.record)
             yield pa.RecordBatch.from_arrays([i, lists(r["idx"].astype("i4"), pa.int32()), lists(r["sim"].astype("i2"), pa.int16())], names=["i", "idx", "sim"])
         elif self.kind == "points":
             xy = np.frombuffer(data, "<f4").reshape(-1, 2)
@@ -82,6 +84,6 @@ class PackedSource(DataSource):
         return PackedReader(dict(self.options))
 
 
-def read_packed(spark: SparkSession, path: str, kind: str, count: int, dims: int = 128) -> DataFrame:
+def read_packed(spark: SparkSession, path: str, kind: str, count: int, dims: int = 128, index_bytes: int = 2) -> DataFrame:
     spark.dataSource.register(PackedSource)
-    return spark.read.format("marani_packed").options(path=path, kind=kind, count=count, dims=dims).load()
+    return spark.read.format("marani_packed").options(path=path, kind=kind, count=count, dims=dims, index_bytes=index_bytes).load()

@@ -52,8 +52,8 @@ def write_points(points: DataFrame, path: str) -> int:
     return _ordered(points, path, lambda r: struct.pack("<2f", r["x"], r["y"]))
 
 
-def write_neighbours(neighbours: DataFrame, path: str) -> int:
-    return _ordered(pack_neighbours(neighbours), path, lambda r: bytes(r["record"]))
+def write_neighbours(neighbours: DataFrame, path: str, index_bytes: int = 2) -> int:
+    return _ordered(pack_neighbours(neighbours, index_bytes), path, lambda r: bytes(r["record"]))
 
 
 def write_vectors(quantized: DataFrame, vectors_path: str, scales_path: str) -> tuple[int, int]:

@@ -36,5 +36,19 @@ def test_oracle(spark, name):
     assert got == sorted("|".join(norm(r[names.index(c)]) for c in cols) for r in found.fetchall())
 
 
+@pytest.mark.parametrize("highest", [65_535, 65_536, 2**31 - 1])
+@pytest.mark.parametrize("name", ["neighbour_file"])
+def test_neighbours_of_large_tables(spark, tmp_path, name, highest):
+    rows = [(i, [(highest - i - n * 4111) % (highest + 1) for n in range(15)], [255 - n - i % 7 for n in range(15)]) for i in (0, 2, 70_000)]
+    spark.createDataFrame([*rows, rows[0], (1, None, None)], "i int, nidx array<int>, nsim array<int>").write.parquet(f"{tmp_path}/layout.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW layout AS SELECT * FROM '{tmp_path}/layout.parquet/*.parquet'")
+    df = entry.queries()[name](spark, str(tmp_path))
+    got, found = df.collect(), con.execute(entry.oracle_sql()[name])
+    cols = [d[0] for d in found.description]
+    assert len(got) == 45
+    assert sorted(tuple(r[c] for c in cols) for r in got) == sorted(found.fetchall())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

@@ -91,6 +91,19 @@ def test_dataset_round_trip(spark, tmp_path):
     assert files["points.f32"] == 320 and "index.json" in files
 
 
+def test_wide_neighbours(spark, tmp_path):
+    near = spark.createDataFrame([(0, 0, 65_536, 255), (0, 1, -1, 0), (1, 0, 2**31 - 1, 7), (1, 1, 0, 200)], "i int, rank int, j long, sim_u8 int")
+    assert neighbours.index_bytes(near) == 4
+    assert [neighbours.index_bytes(near.where(c)) for c in ("j = 0", "false", "j = 65536", "j < 0")] == [2, 2, 4, 4]
+    path = str(tmp_path / "neighbors.bin")
+    assert sinks.write_neighbours(near, path, 4) == 20
+    assert open(path, "rb").read() == bytes([0, 0, 1, 0, 255, 255, 255, 255, 255, 0, 255, 255, 255, 127, 7, 0, 0, 0, 0, 200])
+    back = binary.read_packed(spark, path, "neighbors", 2, index_bytes=4).orderBy("i").collect()
+    assert [tuple(r) for r in back] == [(0, [65_536, -1], [255, 0]), (1, [2**31 - 1, 0], [7, 200])]
+    with pytest.raises(Exception, match="32 bits"):
+        sinks.write_neighbours(near.withColumn("j", F.lit(2**31)), path, 4)
+
+
 def test_other_sinks(spark, tmp_path):
     df = spark.createDataFrame([(0, "Ab", 3, [1.0, 2.0]), (1, "c", 1, [0.5, 0.25])], "i int, word string, count int, vec array<double>")
     assert sinks.write_jsonl(df, str(tmp_path / "j")) == 2
