@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -101,10 +102,12 @@ def pack_neighbours(neighbours: DataFrame, index_bytes: int = 2) -> DataFrame:
     return neighbours.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("rank", checked.alias("h")))).alias("l")).select("i", F.unhex(F.array_join(F.transform("l", lambda x: x["h"]), "")).alias("record"))
 
 
-def unpack_neighbours(records: DataFrame) -> DataFrame:
-    """``i``, ``rank``, ``j``, ``sim_u8`` of packed records; a record that isn't a multiple of three bytes gives no row."""
+def unpack_neighbours(records: DataFrame, index_bytes: int = 2) -> DataFrame:
+    """``i``, ``rank``, ``j``, ``sim_u8`` of packed records; a record that isn't a multiple of three bytes, or of five with 4 bytes for an index, gives no row."""
+    width = index_bytes + 1
     text = F.hex("record")
-    each = F.transform(F.sequence(F.lit(0), (F.length("record") / 3 - 1).cast("int")), lambda n: F.substring(text, n * 6 + 1, F.lit(6)))
-    value = lambda start: F.conv(F.substring(F.col("h"), start, 2), 16, 10).cast("int")
-    good = records.where((F.length("record") > 0) & (F.length("record") % 3 == 0))
-    return good.select("i", F.posexplode(each).alias("rank", "h")).select("i", "rank", (value(1) + value(3) * 256).alias("j"), value(5).cast("smallint").alias("sim_u8"))
+    each = F.transform(F.sequence(F.lit(0), (F.length("record") / width - 1).cast("int")), lambda n: F.substring(text, n * 2 * width + 1, F.lit(2 * width)))
+    value = lambda n: F.conv(F.substring(F.col("h"), 2 * n + 1, 2), 16, 10).cast("int")
+    index = reduce(lambda a, b: a.bitwiseOR(b), (F.shiftleft(value(n), 8 * n) for n in range(index_bytes)))
+    good = records.where((F.length("record") > 0) & (F.length("record") % width == 0))
+    return good.select("i", F.posexplode(each).alias("rank", "h")).select("i", "rank", index.alias("j"), value(index_bytes).cast("smallint").alias("sim_u8"))

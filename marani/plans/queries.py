@@ -632,7 +632,8 @@ def morph_points(spark: SparkSession, folder: str) -> DataFrame:
 def packed_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "layout").where("size(nidx) = size(nsim)").groupBy("i").agg(F.min("nidx").alias("nidx"), F.min("nsim").alias("nsim"))
     each = rows.select("i", F.posexplode(F.arrays_zip("nidx", "nsim")).alias("rank", "z")).select("i", "rank", F.col("z.nidx").alias("j"), F.col("z.nsim").alias("sim_u8"))
-    return neighbours.unpack_neighbours(neighbours.pack_neighbours(each)).select("i", "rank", "j", F.col("sim_u8").cast("int").alias("sim_u8"))
+    wide = neighbours.index_bytes(_table(spark, folder, "layout").select(F.explode("nidx").alias("j")))
+    return neighbours.unpack_neighbours(neighbours.pack_neighbours(each, wide), wide).select("i", "rank", "j", F.col("sim_u8").cast("int").alias("sim_u8"))
 
 
 @query(

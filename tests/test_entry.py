@@ -37,7 +37,7 @@ def test_oracle(spark, name):
 
 
 @pytest.mark.parametrize("highest", [65_535, 65_536, 2**31 - 1])
-@pytest.mark.parametrize("name", ["neighbour_file"])
+@pytest.mark.parametrize("name", ["neighbour_file", "packed_neighbours"])
 def test_neighbours_of_large_tables(spark, tmp_path, name, highest):
     rows = [(i, [(highest - i - n * 4111) % (highest + 1) for n in range(15)], [255 - n - i % 7 for n in range(15)]) for i in (0, 2, 70_000)]
     spark.createDataFrame([*rows, rows[0], (1, None, None)], "i int, nidx array<int>, nsim array<int>").write.parquet(f"{tmp_path}/layout.parquet")

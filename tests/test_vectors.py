@@ -44,6 +44,17 @@ def test_packing(spark):
         neighbours.pack_neighbours(df.withColumn("j", F.lit(70000))).collect()
 
 
+def test_wide_packing(spark):
+    rows = {(0, 0, 65_536, 200), (0, 1, -1, 3), (1, 0, 2**31 - 1, 255), (1, 1, -(2**31), 0), (1, 2, 7, 9)}
+    packed = neighbours.pack_neighbours(spark.createDataFrame(sorted(rows), "i int, rank int, j long, sim_u8 int"), 4)
+    assert {len(r["record"]) for r in packed.collect()} == {10, 15}
+    back = neighbours.unpack_neighbours(packed, 4)
+    assert {tuple(r) for r in back.collect()} == rows
+    assert back.schema == neighbours.unpack_neighbours(packed).schema
+    cut = packed.withColumn("record", F.substring("record", 1, 6))
+    assert neighbours.unpack_neighbours(cut, 4).count() == 0 and neighbours.unpack_neighbours(cut).count() == 4
+
+
 def test_int8(spark):
     m = np.random.default_rng(2).normal(size=(50, 128))
     m /= np.linalg.norm(m, axis=1, keepdims=True)
